@@ -4,14 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Accepted layouts of order dates, in the order they are tried.
-DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy")
+# Shapes of the accepted layouts YYYY-MM-DD, YYYY/MM/DD and MM/DD/YYYY.
+ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
+SLASHED_SHAPE = r"^\d{4}/\d{2}/\d{2}$"
+MONTH_FIRST_SHAPE = r"^\d{2}/\d{2}/\d{4}$"
 
 
 def tolerant_date(value: Column) -> Column:
-    """The first layout that fits, then a plain cast; NULL if none does."""
-    tries = [F.try_to_date(value, layout) for layout in DATE_LAYOUTS]
-    return F.coalesce(*tries, value.try_cast("date"))
+    """Any of the three layouts, else a plain cast; NULL if none fits.
+
+    A text is brought into ISO shape and cast once: parsing by pattern raises
+    and catches an error inside Spark for every text that is in another layout.
+    """
+    month_first = F.concat_ws(
+        "-", F.substring(value, 7, 4), F.substring(value, 1, 2), F.substring(value, 4, 2)
+    )
+    iso = (
+        F.when(value.rlike(SLASHED_SHAPE), F.translate(value, "/", "-"))
+        .when(value.rlike(MONTH_FIRST_SHAPE), month_first)
+        .otherwise(value)
+    )
+    return iso.try_cast("date")
 
 
 def strict_date(value: Column) -> Column:
@@ -21,7 +34,7 @@ def strict_date(value: Column) -> Column:
 
 def iso_date_or_null(value: Column) -> Column:
     """ISO date; NULL for any other text."""
-    return F.try_to_date(value, "yyyy-MM-dd")
+    return F.when(value.rlike(ISO_SHAPE), value.try_cast("date"))
 
 
 def calendar_columns(day: Column) -> list[Column]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.session import stored
+
 # A key is hot when it holds more than this share of the rows, so at most
 # 1 / HOT_SHARE keys can be hot: a fixed bound for the broadcast list of them.
 HOT_SHARE = 0.001
@@ -59,12 +61,26 @@ def lookup_join(
 
 
 def missing_lookup(
-    fact: DataFrame, lookup: DataFrame, key: str, flag: str, salted: bool | None = None
+    fact: DataFrame, lookup: DataFrame, key: str, flag: str, large: bool | None = None
 ) -> DataFrame:
-    """Add ``flag``: true where ``key`` is NULL or not found in ``lookup``."""
+    """Add ``flag``: true where ``key`` is NULL or not found in ``lookup``.
+
+    A lookup past the broadcast threshold is not joined with the rows. Its keys
+    are taken from the distinct keys of ``fact``, and the keys left over, few
+    in most tables, are stored and joined back by their real size. So the rows
+    are not shuffled, or only where the lost keys are many; ``large`` forces
+    one of the two ways.
+    """
     known = lookup.select(key).where(F.col(key).isNotNull()).distinct()
-    marked = lookup_join(fact, known.withColumn("_known", F.lit(True)), key, "left", salted)
-    return marked.withColumn(flag, F.col("_known").isNull()).drop("_known")
+    if large is None:
+        large = not fits_broadcast(known)
+    if not large:
+        marked = fact.join(known.withColumn("_known", F.lit(True)), key, "left")
+        return marked.withColumn(flag, F.col("_known").isNull()).drop("_known")
+    seen = fact.select(key).where(F.col(key).isNotNull()).distinct()
+    lost = stored(seen.join(known, key, "left_anti"), "lost-keys")
+    marked = lookup_join(fact, lost.withColumn("_lost", F.lit(True)), key)
+    return marked.withColumn(flag, F.col("_lost").isNotNull() | F.col(key).isNull()).drop("_lost")
 
 
 def orphan_rows(fact: DataFrame, lookup: DataFrame, key: str) -> DataFrame:

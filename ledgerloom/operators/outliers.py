@@ -69,6 +69,7 @@ def impute_with_median(df: DataFrame, column: str, flag: str, order_by: list[str
 
     width = middle.high - middle.low
     ordered = Window.orderBy(*order_by)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     step = F.lit(width) / F.pow(F.lit(2.0), F.col("_j"))
     lifted = F.when(F.col("_v") <= middle.low, step).otherwise(0.0)
     head = (
@@ -78,8 +79,8 @@ def impute_with_median(df: DataFrame, column: str, flag: str, order_by: list[str
         .limit(MEDIAN_STEPS)
         .withColumn("_j", F.row_number().over(ordered))
         .withColumn("_lift", lifted)
-        .withColumn("_upto", F.sum("_lift").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_fill", middle.low + F.col("_upto") - F.col("_lift") + step)
+        .withColumn("_before", F.sum("_lift").over(earlier))
+        .withColumn("_fill", middle.low + step + F.coalesce(F.col("_before"), F.lit(0.0)))
     )
     last = head.agg(middle.low + F.sum("_lift")).scalar()
     # At most MEDIAN_STEPS rows, whatever the size of the table.

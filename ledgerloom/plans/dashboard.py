@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame
 from ledgerloom.operators.segments import segment_totals, tercile_segments, with_share
 from ledgerloom.plans.marts import category_sales, top_customers
 from ledgerloom.plans.quality import high_value_orders
+from ledgerloom.session import stored
 
 
 def customer_segments(fact: DataFrame) -> DataFrame:
-    """Revenue tiers of the top customers."""
-    return tercile_segments(top_customers(fact), "total_revenue")
+    """Revenue tiers of the top customers; their few rows are stored first."""
+    return tercile_segments(stored(top_customers(fact), "top-customers"), "total_revenue")
 
 
 def segment_revenue(fact: DataFrame) -> DataFrame:

@@ -21,20 +21,27 @@ def top_customers_named(
     """Largest revenue per known customer, with name and number of orders.
 
     Facts are summed per customer before the join: the join then sees one row
-    per customer, however many orders a customer has.
+    per customer, however many orders a customer has. Orders are counted for
+    the ``k`` customers only, so the order ids of all others are not shuffled.
     """
-    sums = fact.groupBy("customer_id").agg(
-        F.sum("order_amount").alias("revenue"),
-        F.count_distinct("order_id").alias("orders"),
-    )
+    revenue = fact.groupBy("customer_id").agg(F.sum("order_amount").alias("revenue"))
     names = customers.select("customer_id", full_name().alias("customer_name"))
     # A customer listed twice under one name counts twice in the revenue.
     merged = (
-        sums.join(names, "customer_id")
+        revenue.join(names, "customer_id")
         .groupBy("customer_id", "customer_name")
-        .agg(F.sum("revenue").alias("total_revenue"), F.max("orders").alias("total_orders"))
+        .agg(F.sum("revenue").alias("total_revenue"))
     )
-    return topmost(merged, "total_revenue", "customer_id", k, nulls)
+    top = topmost(merged, "total_revenue", "customer_id", k, nulls)
+    chosen = F.broadcast(top.select("customer_id").distinct())  # at most k rows
+    orders = (
+        fact.select("customer_id", "order_id")
+        .join(chosen, "customer_id", "left_semi")
+        .groupBy("customer_id")
+        .agg(F.count_distinct("order_id").alias("total_orders"))
+    )
+    counted = top.join(F.broadcast(orders), "customer_id")
+    return topmost(counted, "total_revenue", "customer_id", k, nulls)
 
 
 def customer_spend(
@@ -96,26 +103,20 @@ def with_full_name(customers: DataFrame) -> DataFrame:
 def sales_trend(fact: DataFrame, days_ahead: int = 30) -> DataFrame:
     """Linear trend of daily revenue, carried on past the last day.
 
-    A least-squares line over (days since the first day, revenue): one row of
-    statistics, then one row per forecast day.
+    A least-squares line over (day number, revenue): one row of statistics, then
+    one row per forecast day.
     """
     totals = daily_totals(fact, "order_date", "order_amount").where(
         F.col("order_day").isNotNull()
     )
-    start = totals.agg(F.min("order_day")).scalar()
-    x = F.datediff("order_day", start)
+    x = F.unix_date("order_day")
     y = F.col("daily_revenue").cast("double")
     line = totals.agg(
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
-        F.min("order_day").alias("first_day"),
         F.max("order_day").alias("last_day"),
     )
     ahead = F.sequence(F.date_add("last_day", 1), F.date_add("last_day", days_ahead))
     days = line.select("*", F.explode(ahead).alias("forecast_day"))
-    return days.select(
-        "forecast_day",
-        (F.col("intercept") + F.col("slope") * F.datediff("forecast_day", "first_day")).alias(
-            "expected_revenue"
-        ),
-    )
+    expected = F.col("intercept") + F.col("slope") * F.unix_date("forecast_day")
+    return days.select("forecast_day", expected.alias("expected_revenue"))

@@ -318,7 +318,7 @@ ORACLES: dict[str, str] = {
              CASE WHEN o_orderkey % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END
              * (o_totalprice + 4000.0::DOUBLE)
              * CASE WHEN o_orderkey % 400 IN (0, 1, 5) THEN 1000.0::DOUBLE ELSE 1.0::DOUBLE END
-             AS value FROM orders"""
+             / 3.0::DOUBLE AS value FROM orders"""
     ),
     "issue_log": issues("propagate"),
     "issue_log_known_prices": issues("omit"),

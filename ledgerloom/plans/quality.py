@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_FLOOR, Decimal
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerloom.functions.labels import issue
 from ledgerloom.operators.joins import missing_lookup
 from ledgerloom.operators.outliers import impute_with_median, zscore_flags
 from ledgerloom.operators.quantiles import exact_quantiles
+from ledgerloom.session import stored
 
 UNKNOWN_KEY = "-1"  # fixed value: placeholder of an orphan key
 MEASURES = ("quantity", "price")
@@ -33,14 +36,16 @@ def flag_fact(
 
 
 def issue_log(flagged: DataFrame, run_id: str) -> DataFrame:
-    """One row per raised flag, from one pass over the flagged rows."""
+    """One row per raised flag, from one pass; most rows have none and leave early."""
     kinds = [("outlier", c) for c in MEASURES]
     kinds += [("orphan", c) for c in ("customer_id", "product_id")]
+    any_flag = reduce(lambda a, b: a | b, [F.col(f"{kind}_{c}") for kind, c in kinds])
     raised = F.array(
         *[F.when(F.col(f"{kind}_{c}"), issue(kind, F.col("order_id"), c)) for kind, c in kinds]
     )
     return (
-        flagged.select(F.explode(F.filter(raised, lambda i: i.isNotNull())).alias("i"))
+        flagged.where(any_flag)
+        .select(F.explode(F.array_compact(raised)).alias("i"))
         .select(F.lit(run_id).alias("run_id"), "i.*")
     )
 
@@ -72,12 +77,8 @@ def run_quality(
     order_by: list[str] | None = None,
     null_policy: str = "propagate",
 ) -> QualityRun:
-    """Cleaned fact and issue log.
-
-    ``fact`` should be a stored table: its medians are looked up at once, and
-    both results read it.
-    """
-    flagged = flag_fact(fact, customers, products, null_policy)
+    """Cleaned fact and issue log; both read the flagged rows, stored once."""
+    flagged = stored(flag_fact(fact, customers, products, null_policy), "flagged")
     return QualityRun(
         clean_fact(flagged, order_by or ["order_id"]), issue_log(flagged, run_id)
     )
@@ -86,9 +87,15 @@ def run_quality(
 def high_value_orders(fact: DataFrame, share: float = 0.9) -> DataFrame:
     """Orders above the given quantile of the order amount.
 
-    The limit is found first and filters as a literal, so it reaches the scan.
+    The limit is found first and filters as a literal of the column's own type,
+    so it reaches the scan.
     """
     limit = exact_quantiles(fact, "order_amount", [share])[0]
     if limit is None:
         return fact.where(F.lit(False))
-    return fact.where(F.col("order_amount").cast("double") > limit.value)
+    bound, dtype = limit.value, fact.schema["order_amount"].dataType
+    if isinstance(dtype, T.DecimalType):
+        # Above the limit means above the last value of this scale up to it.
+        step = Decimal(1).scaleb(-dtype.scale)
+        bound = Decimal(bound).quantize(step, ROUND_FLOOR)
+    return fact.where(F.col("order_amount") > F.lit(bound).cast(dtype))

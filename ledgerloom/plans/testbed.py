@@ -17,7 +17,7 @@ from ledgerloom.operators.outliers import impute_with_median
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.plans import dashboard, marts, quality, star
 from ledgerloom.plans.warehouse import build_warehouse
-from ledgerloom.session import shared_folder
+from ledgerloom.session import shared_folder, stored
 from ledgerloom.sources import adapters, csv_files, store
 from ledgerloom.sources.schemas import RAW_TABLES
 from ledgerloom.streaming import clicks as streams
@@ -341,15 +341,18 @@ def _two_sided(key: Column, price: Column) -> Column:
     """Even keys above zero, odd ones below; a few of each sign far out."""
     side = F.when(key % 2 == 0, 1.0).otherwise(-1.0)
     far = F.when((key % 400).isin(0, 1, 5), 1000.0).otherwise(1.0)
-    return side * (price + 4000.0) * far
+    return side * (price + 4000.0) * far / 3.0
 
 
 def _flagged(spark: SparkSession, d: str, null_policy: str) -> DataFrame:
     products = adapters.faulty_products(spark, d)
     fact = star.staged_fact(
         star.staged_orders(star.enriched_orders(adapters.faulty_orders(spark, d), products))
+    ).drop("order_amount", "order_date")
+    # The statistics and the flags both read the fact, so the joins run once.
+    return quality.flag_fact(
+        stored(fact, "fact"), adapters.customers(spark, d), products, null_policy
     )
-    return quality.flag_fact(fact, adapters.customers(spark, d), products, null_policy)
 
 
 @query
@@ -371,7 +374,10 @@ def orphan_imputed(spark: SparkSession, d: str) -> DataFrame:
         "customer_id",
         "lost_customer",
     )
-    rows = missing_lookup(rows, adapters.products(spark, d), "product_id", "lost_product")
+    # As for a product table past the broadcast threshold.
+    rows = missing_lookup(
+        rows, adapters.products(spark, d), "product_id", "lost_product", large=True
+    )
     return rows.select(
         "order_id",
         F.when(F.col("lost_customer"), quality.UNKNOWN_KEY)
@@ -421,7 +427,7 @@ def all_customer_segments(spark: SparkSession, d: str) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.sum("order_amount").alias("total_revenue"))
     )
-    rows = segments.tercile_segments(revenue, "total_revenue")
+    rows = segments.tercile_segments(stored(revenue, "revenue"), "total_revenue")
     return rows.select("customer_id", money("total_revenue"), "segment", "segment_rank")
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,6 +28,23 @@ def build_session(master: str | None = None, settings: dict[str, str] | None = N
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings that fit a job to its input and cluster.
+
+    Shuffle partitions of about 200 MB, at least three waves of tasks, and scan
+    splits that grow from 128 MB to 512 MB so that a 100 TB scan stays near
+    200,000 tasks. Adaptive execution joins what turns out too small.
+    """
+    split = min(max(input_bytes // (cores * 50), 128 << 20), 512 << 20)
+    shuffle = max(3 * cores, math.ceil(input_bytes / (200 << 20)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(min(shuffle, 100_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(200 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
@@ -41,3 +59,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         app = spark.sparkContext.applicationId
         base = _local_base.setdefault(app, tempfile.mkdtemp(prefix="run-"))
     return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}/{purpose}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to a fresh shared folder and read it back.
+
+    Cuts the lineage: readers no longer repeat the work, a lost executor costs
+    a re-read only, and Spark knows the real size.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

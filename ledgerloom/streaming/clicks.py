@@ -144,11 +144,11 @@ def alert_batch(
             F.when(F.col("orphan"), F.lit(f"orphan_{customer_key}")),
             F.when(F.col(f"outlier_{measure}"), F.lit(f"outlier_{measure}")),
         )
-        return flagged.select(
+        return flagged.where(F.col("orphan") | F.col(f"outlier_{measure}")).select(
             click_key,
             customer_key,
             measure,
-            F.explode(F.filter(raised, lambda i: i.isNotNull())).alias("issue_type"),
+            F.explode(F.array_compact(raised)).alias("issue_type"),
         )
 
     return find
