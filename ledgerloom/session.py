@@ -12,7 +12,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 _local_base: dict[str, str] = {}

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.operators.joins import lookup_join
+
 
 def open_database(spark: SparkSession, name: str, location: str) -> None:
     """Create the database, with its files under ``location``."""
@@ -88,7 +90,11 @@ def append_new_keys(df: DataFrame, database: str, name: str, keys: list[str]) ->
     if not spark.catalog.tableExists(f"{database}.{name}"):
         return replace_table(df, database, name)
     held = spark.table(f"{database}.{name}")
-    fresh = df.join(held.select(*keys), keys, "left_anti").select(*held.columns)
+    known = held.select(*keys).distinct()
+    if len(keys) == 1:
+        fresh = lookup_join(df, known, keys[0], "left_anti").select(*held.columns)
+    else:
+        fresh = df.join(known, keys, "left_anti").select(*held.columns)
     # Written aside first: the table must not change while it is read.
     path = _new_path(spark, database, f"{name}-delta")
     fresh.write.mode("errorifexists").parquet(path)

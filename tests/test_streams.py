@@ -35,6 +35,13 @@ def test_repeat_within_the_bound_is_dropped_and_past_it_kept(spark, feed, tmp_pa
     assert sorted(r.click_id for r in rows) == [1, 1, 2, 3, 4]
 
 
+def test_thinning_by_place_keeps_each_key_once(spark, feed, tmp_path):
+    stream = feed([(i % 5, i, i % 3) for i in range(300)], [(i % 7, i, 20) for i in range(300)])
+    unique = clicks.unique_clicks(stream, place="customer_id")
+    rows = clicks.drain_to_files(unique, str(tmp_path / "o")).collect()
+    assert sorted(r.click_id for r in rows) == list(range(7))
+
+
 def test_two_clicks_31_minutes_apart_are_two_sessions(spark, feed, tmp_path):
     stream = feed([(1, 7, 0), (2, 7, 31), (3, 7, 40), (4, 8, 5)], [(9, 9, 600)], [(10, 9, 2000)])
     sessions = clicks.click_sessions(stream, "ts", "customer_id")
