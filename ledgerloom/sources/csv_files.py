@@ -102,7 +102,8 @@ def land_csv(
     checked.withColumn("outcome", outcome).write.mode("errorifexists").partitionBy(
         "outcome"
     ).parquet(target)
-    landed = spark.read.schema(checked.schema.add("outcome", "string")).parquet(target)
+    shape = T.StructType([*checked.schema.fields, T.StructField("outcome", T.StringType())])
+    landed = spark.read.schema(shape).parquet(target)
     good = landed.where(F.col("outcome") == "accepted").drop("outcome")
     bad = landed.where(F.col("outcome") == "rejected").drop("outcome")
     return accepted(good, table), rejected(bad)

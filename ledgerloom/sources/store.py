@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -58,25 +59,25 @@ def snapshot_table(spark: SparkSession, database: str, name: str) -> DataFrame:
 
 
 def append_run(df: DataFrame, database: str, name: str, run_id: str) -> DataFrame | None:
-    """Append the rows of one run, unless there are none.
+    """Append the rows of one run; no table is made as long as there are none.
 
-    A rerun replaces the rows of its own ``run_id`` only.
+    A run that is tried again replaces its own rows, and only those.
     """
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"run_id must be a plain word: {run_id}")
     spark = df.sparkSession
     table = f"`{database}`.`{name}`"
     exists = spark.catalog.tableExists(f"{database}.{name}")
-    if df.isEmpty():
-        return spark.table(table) if exists else None
-    # A fixed folder, so that reruns meet the partition they wrote before.
+    if not exists and df.isEmpty():
+        return None
+    # A fixed folder, so that a rerun meets the partition it wrote before.
     path = f"{database_location(spark, database)}/{name}-runs"
-    rows = df.withColumn("run_id", F.lit(run_id))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "run_id"
-    ).parquet(path)
+    rows = df.drop("run_id")
+    rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
     if not exists:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         spark.sql(
-            f"CREATE TABLE {table} ({columns}) USING parquet "
+            f"CREATE TABLE {table} ({columns}, run_id STRING) USING parquet "
             f"PARTITIONED BY (run_id) LOCATION '{path}'"
         )
     spark.catalog.recoverPartitions(table)

@@ -52,7 +52,10 @@ def test_append_skips_empty_runs_and_replaces_reruns(spark, db):
     store.append_run(spark.range(2), db, "log", "r2")
     log = store.append_run(spark.range(1), db, "log", "r1")
     assert sorted((r.run_id, r.id) for r in log.collect()) == [("r1", 0), ("r2", 0), ("r2", 1)]
-    assert store.append_run(spark.range(0), db, "log", "r1").count() == 3
+    emptied = store.append_run(spark.range(0), db, "log", "r2")
+    assert [(r.run_id, r.id) for r in emptied.collect()] == [("r1", 0)]
+    with pytest.raises(ValueError, match="plain word"):
+        store.append_run(spark.range(1), db, "log", "../x")
 
 
 def test_incremental_load_adds_new_keys_once(spark, db):
