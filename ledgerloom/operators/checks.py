@@ -35,9 +35,19 @@ def null_rows(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def numeric_profile(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """One row with min, max and mean of each column; values name the outputs."""
-    parts = []
+def numeric_profile(
+    df: DataFrame,
+    columns: dict[str, str],
+    distinct: dict[str, str] | None = None,
+    approximate: bool = False,
+) -> DataFrame:
+    """One row with min, max and mean of each column, from one pass.
+
+    The values of both maps name the outputs. ``distinct`` adds counts of
+    distinct non-null values, which ``approximate`` takes from a sketch.
+    """
+    count = F.approx_count_distinct if approximate else F.count_distinct
+    parts = [count(c).alias(name) for c, name in (distinct or {}).items()]
     for column, name in columns.items():
         parts += [
             F.min(column).alias(f"min_{name}"),
@@ -47,12 +57,6 @@ def numeric_profile(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.agg(F.count("*").alias("total_rows"), *parts)
 
 
-def distinct_count(df: DataFrame, column: str, name: str, approximate: bool = False) -> DataFrame:
-    """One row: number of distinct non-null values."""
-    count = F.approx_count_distinct(column) if approximate else F.count_distinct(column)
-    return df.agg(count.alias(name))
-
-
 def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """Put a default in place of NULL, per column."""
     return df.na.fill(defaults)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.operators.joins import plan_bytes
 
-SMALL_BYTES = 64 * 1024 * 1024  # up to here one task may order all distinct values
+SMALL_BYTES = 16 * 1024 * 1024  # up to here one task may order all distinct values
 ACCURACY = 10_000  # rank error of the sketches: rows / ACCURACY
 BRACKET_ROWS = 1_000_000  # a bracket is narrowed until it holds no more rows
 MAX_ROUNDS = 8

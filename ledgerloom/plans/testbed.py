@@ -42,6 +42,12 @@ def as_double(*names: str) -> dict[str, Column]:
     return {n: F.col(n).cast("double") for n in names}
 
 
+def _landed_orders(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Faulty orders as a stored raw table, for work that reads them repeatedly."""
+    orders = adapters.faulty_orders(spark, d)
+    return stored(orders.select(*columns) if columns else orders, "raw-orders")
+
+
 # --- marts -----------------------------------------------------------------
 
 
@@ -181,9 +187,7 @@ def orders_enriched(spark: SparkSession, d: str) -> DataFrame:
 def orders_enriched_salted(spark: SparkSession, d: str) -> DataFrame:
     """The join that a product table past the broadcast threshold gets."""
     products = adapters.faulty_products(spark, d).select("product_id", "price")
-    rows = lookup_join(
-        adapters.faulty_orders(spark, d), products, "product_id", "left", salted=True
-    )
+    rows = lookup_join(_landed_orders(spark, d), products, "product_id", "left", salted=True)
     return rows.select(
         "order_id",
         "customer_id",
@@ -224,7 +228,7 @@ def missing_keys(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def orphan_counts(spark: SparkSession, d: str) -> DataFrame:
-    orders = adapters.faulty_orders(spark, d)
+    orders = _landed_orders(spark, d, "customer_id", "product_id")
     lost = {
         "customers": orphan_count(orders, adapters.customers(spark, d), "customer_id", "n"),
         "products": orphan_count(orders, adapters.products(spark, d), "product_id", "n"),
@@ -243,16 +247,13 @@ def orphan_orders(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def product_profile(spark: SparkSession, d: str) -> DataFrame:
-    products = adapters.faulty_products(spark, d)
-    rows = products.agg(
-        F.count("*").alias("total_products"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        F.avg("price").alias("avg_price"),
+    rows = checks.numeric_profile(
+        adapters.faulty_products(spark, d),
+        {"price": "price"},
+        distinct={"product_id": "unique_products"},
     )
     return rows.select(
-        "total_products",
+        F.col("total_rows").alias("total_products"),
         "unique_products",
         money("min_price"),
         money("max_price"),
@@ -263,7 +264,7 @@ def product_profile(spark: SparkSession, d: str) -> DataFrame:
 @query
 def numeric_profile(spark: SparkSession, d: str) -> DataFrame:
     rows = checks.numeric_profile(
-        adapters.faulty_orders(spark, d), {"quantity": "qty", "total_amount": "amount"}
+        adapters.order_measures(spark, d), {"quantity": "qty", "total_amount": "amount"}
     )
     return rows.select(
         F.col("total_rows").alias("total_orders"),
@@ -368,11 +369,9 @@ def issue_log_known_prices(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def orphan_imputed(spark: SparkSession, d: str) -> DataFrame:
+    orders = _landed_orders(spark, d, "order_id", "customer_id", "product_id")
     rows = missing_lookup(
-        adapters.faulty_orders(spark, d),
-        adapters.customers(spark, d),
-        "customer_id",
-        "lost_customer",
+        orders, adapters.customers(spark, d), "customer_id", "lost_customer"
     )
     # As for a product table past the broadcast threshold.
     rows = missing_lookup(
@@ -598,7 +597,7 @@ def star_row_counts(spark: SparkSession, d: str) -> DataFrame:
     raw = {
         "raw_customers": adapters.customers(spark, d),
         "raw_products": adapters.faulty_products(spark, d),
-        "raw_orders": adapters.faulty_orders(spark, d),
+        "raw_orders": _landed_orders(spark, d),
     }
     built = build_warehouse(raw, _new_database(spark, "warehouse"), RUN_ID, AS_OF)
     names = (

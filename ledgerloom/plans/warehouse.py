@@ -14,13 +14,18 @@ from ledgerloom.sources.store import append_run, replace_table, replace_view
 
 
 def build_warehouse(
-    raw: dict[str, DataFrame], database: str, run_id: str, as_of: date
+    raw: dict[str, DataFrame],
+    database: str,
+    run_id: str,
+    as_of: date,
+    enforce_keys: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the tables of ``database`` and publish the marts as views.
 
     ``raw`` holds accepted raw tables. Customers and products that come with an
     ``ingest_order`` are reduced to one row per key. Only tables that are read
-    again are stored; pass-through copies are views.
+    again are stored; pass-through copies are views. With ``enforce_keys`` no mart
+    is published while a key test fails.
     """
     customers, products = (
         _one_per_key(raw[name], key)
@@ -59,6 +64,15 @@ def build_warehouse(
     if issues is not None:
         built["data_quality_issues"] = issues
 
+    if enforce_keys:
+        dimensions = {
+            "customer_id": built["dim_customers"],
+            "product_id": built["dim_products"],
+        }
+        failed = gate(built["fact_orders_clean"], dimensions)
+        if failed:
+            raise ValueError(f"key tests failed: {', '.join(failed)}")
+
     clean = built["fact_orders_clean"]
     conformed = built["fact_orders_conformed"]
     for name, df in {

@@ -182,6 +182,20 @@ def loose_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _loud_quantity(key: str, quantity: Column) -> Column:
+    """Some quantities a thousand times too large."""
+    return F.when(_every(key, 199), (quantity * 1000).cast(UNITS)).otherwise(quantity)
+
+
+def order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of ``faulty_orders``, which need no join."""
+    quantity = F.col("l_quantity").cast(UNITS)
+    return table(spark, sf_dir, "lineitem").select(
+        _loud_quantity("l_orderkey", quantity).alias("quantity"),
+        F.col("l_extendedprice").cast(PRICE).alias("total_amount"),
+    )
+
+
 def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed order lines with lost and unknown keys and some huge quantities."""
     return _lines(spark, sf_dir).select(
@@ -194,9 +208,7 @@ def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("pk").cast("string"))
         .alias("product_id"),
         F.date_format("od", "yyyy-MM-dd").alias("order_date"),
-        F.when(_every("k", 199), (F.col("q") * 1000).cast(UNITS))
-        .otherwise(F.col("q"))
-        .alias("quantity"),
+        _loud_quantity("k", F.col("q")).alias("quantity"),
         F.col("amt").alias("total_amount"),
         F.lit("USD").alias("currency"),
     )

@@ -25,6 +25,17 @@ def click_source(
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
+def parse_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Click columns out of JSON messages as a Kafka source delivers them.
+
+    Adds ``place``, the position of the message, for ``unique_clicks``.
+    """
+    position = [F.col(c).cast("string") for c in ("topic", "partition", "offset")]
+    place = F.concat_ws("/", *position)
+    body = F.from_json(F.col("value").cast("string"), schema)
+    return messages.select(body.alias("body"), place.alias("place")).select("body.*", "place")
+
+
 def with_event_time(clicks: DataFrame, column: str, delay: str = DELAY) -> DataFrame:
     """``column`` as a timestamp with a bound on late rows; unreadable times are NULL."""
     return clicks.withColumn(column, F.col(column).try_cast("timestamp")).withWatermark(

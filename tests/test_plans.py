@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from ledgerloom.operators.dedupe import first_per_key
 from ledgerloom.plans.quality import high_value_orders
 
 LAZY = sorted(
@@ -49,6 +50,17 @@ def test_facts_are_summed_before_the_join(spark, sf_dir):
     assert physical.count("HashAggregate") >= 4
 
 
+def test_dedupe_thins_copies_before_the_shuffle(spark):
+    df = spark.range(9).selectExpr("id % 3 as k", "id as n", "'x' as v")
+    text = plan(first_per_key(df, ["k"], "n")).split("== Physical Plan ==")[1]
+    assert "partial_min" in text and "Window" not in text
+
+
+def test_spread_joins_hold_no_sort_by_one_task(spark, sf_dir):
+    text = plan(queries()["orders_enriched_salted"](spark, sf_dir))
+    assert "SinglePartition" not in text.split("Subquery")[0].split("== Physical Plan ==")[1]
+
+
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 

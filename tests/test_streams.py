@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from ledgerloom.sources.schemas import text_schema
 from ledgerloom.streaming import clicks
 
 START = datetime(2024, 1, 1)
@@ -42,6 +43,20 @@ def test_thinning_by_place_keeps_each_key_once(spark, feed, tmp_path):
     assert sorted(r.click_id for r in rows) == list(range(7))
 
 
+def test_messages_become_clicks(spark):
+    body = '{"click_id": "k1", "click_timestamp": "2024-01-01 10:00:00", "other": 1}'
+    messages = spark.createDataFrame(
+        [(bytearray(body, "utf-8"), "clicks", 3, 99), (bytearray(b"broken"), "clicks", 3, 100)],
+        "value binary, topic string, partition int, offset long",
+    )
+    rows = clicks.parse_messages(messages, text_schema("raw_clicks"))
+    got = [(r.click_id, r.click_timestamp, r.device_type, r.place) for r in rows.collect()]
+    assert got == [
+        ("k1", "2024-01-01 10:00:00", None, "clicks/3/99"),
+        (None, None, None, "clicks/3/100"),
+    ]
+
+
 def test_two_clicks_31_minutes_apart_are_two_sessions(spark, feed, tmp_path):
     stream = feed([(1, 7, 0), (2, 7, 31), (3, 7, 40), (4, 8, 5)], [(9, 9, 600)], [(10, 9, 2000)])
     sessions = clicks.click_sessions(stream, "ts", "customer_id")

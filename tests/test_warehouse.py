@@ -11,6 +11,7 @@ import pytest
 from ledgerloom.plans import dashboard
 from ledgerloom.plans.warehouse import build_warehouse, gate
 from ledgerloom.sources.csv_files import land_csv
+from ledgerloom.sources.schemas import typed_schema
 from ledgerloom.sources.store import open_database
 
 CUSTOMERS = """CUSTOMER_ID,FIRST_NAME,LAST_NAME,EMAIL,PHONE,COUNTRY
@@ -46,7 +47,23 @@ def built(spark, tmp_path):
         )
     database = f"w_{uuid.uuid4().hex}"
     open_database(spark, database, str(tmp_path / "db"))
-    yield build_warehouse(raw, database, "run-1", date(2025, 9, 5))
+    yield build_warehouse(raw, database, "run-1", date(2025, 9, 5), enforce_keys=True)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_repeated_order_ids_stop_the_marts(spark, tmp_path):
+    raw = {
+        "raw_customers": spark.createDataFrame([], typed_schema("raw_customers")),
+        "raw_products": spark.createDataFrame([], typed_schema("raw_products")),
+        "raw_orders": spark.createDataFrame(
+            [("o1", "c", "p", "2024-01-01", Decimal(1), Decimal(1), "USD")] * 2,
+            typed_schema("raw_orders"),
+        ),
+    }
+    database = f"w_{uuid.uuid4().hex}"
+    open_database(spark, database, str(tmp_path / "db"))
+    with pytest.raises(ValueError, match="unique:order_id"):
+        build_warehouse(raw, database, "run-1", date(2025, 9, 5), enforce_keys=True)
     spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
