@@ -47,7 +47,7 @@ def lookup_join(
     spread = F.when(F.col(key).isNull(), F.lit(int(1 / HOT_SHARE))).otherwise(F.col("_salts"))
     left = (
         fact.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.coalesce(F.pmod(row_hash, spread), F.lit(0)).cast("int"))
+        .withColumn("_salt", F.when(spread > 0, F.pmod(row_hash, spread)).otherwise(0).cast("int"))
         .drop("_salts")
     )
     right = (

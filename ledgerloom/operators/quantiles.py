@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -126,9 +127,7 @@ def _by_brackets(values: DataFrame, probabilities: list[float]) -> list[Middle |
         if low < bracket.below or high >= bracket.below + bracket.inside:
             brackets[i] = Bracket(least, most, 0, rows)
     brackets = _narrow(values, brackets, ranks)
-    return [
-        _select(values, bracket, rank, rows) for bracket, rank in zip(brackets, ranks)
-    ]
+    return _select(values, brackets, ranks, rows)
 
 
 def _count(values: DataFrame, ranges: list[tuple[float, float]]) -> list[Bracket]:
@@ -170,14 +169,34 @@ def _narrow(values: DataFrame, brackets: list[Bracket], ranks: list[tuple]) -> l
     return brackets
 
 
-def _select(values: DataFrame, bracket: Bracket, rank: tuple, rows: int) -> Middle:
-    low, high, part = rank
-    if bracket.low == bracket.high:
-        return Middle(bracket.low, bracket.low, part, rows)
-    inside = values.where(F.col("v").between(bracket.low, bracket.high))
-    found = (
-        _running(inside)
-        .agg(_at_rank(F.lit(low - bracket.below)), _at_rank(F.lit(high - bracket.below)))
-        .first()
-    )
-    return Middle(found[0], found[1], part, rows)
+def _select(
+    values: DataFrame, brackets: list[Bracket], ranks: list[tuple], rows: int
+) -> list[Middle]:
+    """Order the values inside the brackets, all brackets in one pass."""
+    v, b = F.col("v"), F.col("bracket")
+    wide = [i for i, bracket in enumerate(brackets) if bracket.low < bracket.high]
+    found = {}
+    if wide:
+        inside = {i: v.between(brackets[i].low, brackets[i].high) for i in wide}
+        holders = F.array_compact(F.array(*[F.when(inside[i], F.lit(i)) for i in wide]))
+        counted = (
+            values.where(reduce(Column.__or__, inside.values()))
+            .groupBy("v")
+            .agg(F.count("*").alias("n"))
+            .select("v", "n", F.explode(holders).alias("bracket"))
+        )
+        ordered = Window.partitionBy("bracket").orderBy("v")
+        upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+
+        def rank(side: int) -> Column:
+            return F.coalesce(
+                *[F.when(b == i, F.lit(ranks[i][side] - brackets[i].below)) for i in wide]
+            )
+
+        picked = counted.withColumn("upto", upto).groupBy("bracket")
+        for i, low, high in picked.agg(_at_rank(rank(0)), _at_rank(rank(1))).collect():
+            found[i] = (low, high)
+    return [
+        Middle(*found.get(i, (brackets[i].low, brackets[i].low)), ranks[i][2], rows)
+        for i in range(len(brackets))
+    ]

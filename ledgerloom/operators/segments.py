@@ -39,4 +39,4 @@ def segment_totals(segmented: DataFrame, measure: str) -> DataFrame:
 def with_share(grouped: DataFrame, measure: str, name: str = "share") -> DataFrame:
     """Add each group's part of the whole; ``grouped`` has one row per group."""
     whole = grouped.agg(F.sum(measure).cast("double")).scalar()
-    return grouped.withColumn(name, F.col(measure).cast("double") / whole)
+    return grouped.withColumn(name, F.try_divide(F.col(measure).cast("double"), whole))
