@@ -122,50 +122,64 @@ def _by_brackets(values: DataFrame, probabilities: list[float]) -> list[Middle |
         )
         for i, p in enumerate(probabilities)
     ]
-    brackets = _count(values, ranges)
-    for i, (bracket, (low, high, _)) in enumerate(zip(brackets, ranks)):
-        if low < bracket.below or high >= bracket.below + bracket.inside:
-            brackets[i] = Bracket(least, most, 0, rows)
+    whole = Bracket(least, most, 0, rows)
+    brackets = _count(values, ranges, [whole] * len(ranges))
+    for i, (bracket, rank) in enumerate(zip(brackets, ranks)):
+        if not _holds(bracket, rank):
+            brackets[i] = whole
     brackets = _narrow(values, brackets, ranks)
     return _select(values, brackets, ranks, rows)
 
 
-def _count(values: DataFrame, ranges: list[tuple[float, float]]) -> list[Bracket]:
+def _holds(bracket: Bracket, rank: tuple) -> bool:
+    return bracket.below <= rank[0] and rank[1] < bracket.below + bracket.inside
+
+
+def _within(bracket: Bracket) -> Column:
+    return F.col("v").between(bracket.low, bracket.high)
+
+
+def _count(
+    values: DataFrame, ranges: list[tuple[float, float]], outer: list[Bracket]
+) -> list[Bracket]:
+    """Brackets for the ranges, each of which lies within its outer bracket."""
     counts = []
-    for low, high in ranges:
-        counts += [F.count_if(F.col("v") < low), F.count_if(F.col("v").between(low, high))]
+    for (low, high), around in zip(ranges, outer):
+        counts.append(F.count_if(_within(around) & (F.col("v") < low)))
+        counts.append(F.count_if(F.col("v").between(low, high)))
     found = values.agg(*counts).first()
     return [
-        Bracket(low, high, found[2 * i], found[2 * i + 1])
+        Bracket(low, high, outer[i].below + found[2 * i], found[2 * i + 1])
         for i, (low, high) in enumerate(ranges)
     ]
 
 
 def _narrow(values: DataFrame, brackets: list[Bracket], ranks: list[tuple]) -> list[Bracket]:
-    """Shrink the wide brackets, all of them in one pass per round."""
+    """Shrink the wide brackets, all of them in two passes per round."""
     for _ in range(MAX_ROUNDS):
         wide = [
             i for i, b in enumerate(brackets) if b.inside > BRACKET_ROWS and b.low < b.high
         ]
         if not wide:
             break
+        old = [brackets[i] for i in wide]
+        near = values.where(reduce(Column.__or__, [_within(b) for b in old]))
         sketches = []
-        for i in wide:
-            b, (low, high, _) = brackets[i], ranks[i]
-            ends = [(low - b.below) / b.inside, (high - b.below + 1) / b.inside]
-            inside = F.when(F.col("v").between(b.low, b.high), F.col("v"))
-            sketches.append(_sketch(inside, [_edges(ends[0])[0], _edges(ends[1])[1]]))
-        found = values.agg(*sketches).first()
-        tried = _count(values, [tuple(guess) for guess in found])
-        shrunk = False
-        for i, b in zip(wide, tried):
-            low, high, _ = ranks[i]
-            holds = b.below <= low and high < b.below + b.inside
-            if holds and b.inside < brackets[i].inside:
-                brackets[i] = b
-                shrunk = True
-        if not shrunk:
+        for i, b in zip(wide, old):
+            low, high = ((rank - b.below) / b.inside for rank in ranks[i][:2])
+            fractions = [_edges(low)[0], _edges(high + 1 / b.inside)[1]]
+            sketches.append(_sketch(F.when(_within(b), F.col("v")), fractions))
+        guesses = [tuple(guess) for guess in near.agg(*sketches).first()]
+        tried = _count(near, guesses, old)
+        better = [
+            (i, b)
+            for i, b in zip(wide, tried)
+            if _holds(b, ranks[i]) and b.inside < brackets[i].inside
+        ]
+        if not better:
             break
+        for i, b in better:
+            brackets[i] = b
     return brackets
 
 
@@ -177,7 +191,7 @@ def _select(
     wide = [i for i, bracket in enumerate(brackets) if bracket.low < bracket.high]
     found = {}
     if wide:
-        inside = {i: v.between(brackets[i].low, brackets[i].high) for i in wide}
+        inside = {i: _within(brackets[i]) for i in wide}
         holders = F.array_compact(F.array(*[F.when(inside[i], F.lit(i)) for i in wide]))
         counted = (
             values.where(reduce(Column.__or__, inside.values()))

@@ -624,7 +624,7 @@ def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
         "o_orderpriority",
         "o_totalprice",
     )
-    text = adapters._date_text(F.col("k"), F.col("day"))
+    text = adapters.date_text(F.col("k"), F.col("day"))
     number = F.when(F.col("k") % 3 == 0, F.lit("x")).otherwise(
         F.col("o_totalprice").cast("decimal(10,2)").cast("string")
     )

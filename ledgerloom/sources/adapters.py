@@ -112,19 +112,19 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def header_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates as text in three layouts, every fourth unreadable."""
     return table(spark, sf_dir, "orders").select(
-        _date_text(F.col("o_orderkey"), F.col("o_orderdate").cast("date")).alias("order_date")
+        date_text(F.col("o_orderkey"), F.col("o_orderdate").cast("date")).alias("order_date")
     )
 
 
 def iso_header_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date")
+        F.col("o_orderdate").cast("date").cast("string").alias("order_date")
     )
 
 
-def _date_text(key: Column, day: Column) -> Column:
+def date_text(key: Column, day: Column) -> Column:
     return (
-        F.when(key % 4 == 0, F.date_format(day, "yyyy-MM-dd"))
+        F.when(key % 4 == 0, day.cast("string"))
         .when(key % 4 == 1, F.date_format(day, "yyyy/MM/dd"))
         .when(key % 4 == 2, F.date_format(day, "MM/dd/yyyy"))
         .otherwise(F.lit("unknown"))
@@ -170,7 +170,7 @@ def loose_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~_every("k", 83), F.concat(F.col("pk").cast("string"), F.lit(" "))).alias(
             "product_id"
         ),
-        _date_text(F.col("k"), F.col("od")).alias("order_date"),
+        date_text(F.col("k"), F.col("od")).alias("order_date"),
         F.when(_every("k", 79), F.lit("n/a"))
         .when(_every("k", 73), F.concat(F.lit("-"), F.col("q").cast("string")))
         .otherwise(F.col("q").cast("string"))
@@ -207,7 +207,7 @@ def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every("k", 83), F.concat(F.lit("gone-"), F.col("pk").cast("string")))
         .otherwise(F.col("pk").cast("string"))
         .alias("product_id"),
-        F.date_format("od", "yyyy-MM-dd").alias("order_date"),
+        F.col("od").cast("string").alias("order_date"),
         _loud_quantity("k", F.col("q")).alias("quantity"),
         F.col("amt").alias("total_amount"),
         F.lit("USD").alias("currency"),
