@@ -24,4 +24,11 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sf_dir() -> str:
+    """Tables that answers are compared on."""
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+@pytest.fixture(scope="session")
+def small_dir() -> str:
+    """Tables for tests of a way or a plan, where the size does not matter."""
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")

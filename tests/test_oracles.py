@@ -17,14 +17,23 @@ TABLES = (
 ).split()
 
 
-@pytest.fixture(scope="module")
-def db(sf_dir):
+def views(folder):
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return con
 
 
+@pytest.fixture(scope="module")
+def db(sf_dir):
+    return views(sf_dir)
+
+
+@pytest.fixture(scope="module")
+def small_db(small_dir):
+    return views(small_dir)
+
+
 def plain(value):
     if isinstance(value, datetime):
         return value.date().isoformat()
@@ -85,7 +94,7 @@ LARGE = (
 
 
 @pytest.mark.parametrize("name", LARGE)
-def test_query_equals_sql_as_for_large_tables(spark, db, sf_dir, name, monkeypatch):
+def test_query_equals_sql_as_for_large_tables(spark, small_db, small_dir, name, monkeypatch):
     """No lookup may be broadcast, and no quantile may order a whole column."""
     monkeypatch.setattr(quantiles, "SMALL_BYTES", -1)
     monkeypatch.setattr(quantiles, "BRACKET_ROWS", 50)
@@ -94,7 +103,7 @@ def test_query_equals_sql_as_for_large_tables(spark, db, sf_dir, name, monkeypat
     try:
         for key in keys:
             spark.conf.set(key, "-1")
-        compare(spark, db, sf_dir, name)
+        compare(spark, small_db, small_dir, name)
     finally:
         for key, value in keep.items():
             spark.conf.set(key, value)

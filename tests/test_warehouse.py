@@ -28,8 +28,9 @@ p3,Pen,Office,free,USD,5
 ORDER_HEADER = "order_id,customer_id,product_id,order_date,quantity,total_amount,currency\n"
 
 
-@pytest.fixture
-def built(spark, tmp_path):
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    tmp_path = tmp_path_factory.mktemp("shop")
     orders = [f"o{i:02d},c1,p1,2024-01-{i + 1:02d},2,20.00,USD" for i in range(20)]
     orders += ["o20,c2,p2,2024-01-21,1,100.00,USD", "o21,c9,p2,2024-01-21,1,100.00,USD"]
     orders += ["o22,c2,p3,2024-01-22,1,5.00,USD", "o23,c2,p2,2024-01-22,900,90000.00,USD"]
@@ -51,22 +52,6 @@ def built(spark, tmp_path):
     spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
-def test_repeated_order_ids_stop_the_marts(spark, tmp_path):
-    raw = {
-        "raw_customers": spark.createDataFrame([], typed_schema("raw_customers")),
-        "raw_products": spark.createDataFrame([], typed_schema("raw_products")),
-        "raw_orders": spark.createDataFrame(
-            [("o1", "c", "p", "2024-01-01", Decimal(1), Decimal(1), "USD")] * 2,
-            typed_schema("raw_orders"),
-        ),
-    }
-    database = f"w_{uuid.uuid4().hex}"
-    open_database(spark, database, str(tmp_path / "db"))
-    with pytest.raises(ValueError, match="unique:order_id"):
-        build_warehouse(raw, database, "run-1", date(2025, 9, 5), enforce_keys=True)
-    spark.sql(f"DROP DATABASE {database} CASCADE")
-
-
 def test_chain(built):
     assert built["dim_customers"].count() == 2
     assert built["dim_products"].count() == 2  # the product without a price is in quarantine
@@ -114,3 +99,19 @@ def test_dashboard_datasets(built):
     # Rank 19.8 of the 23 known amounts lies between 20 and 100.
     high = sorted(r.order_id for r in sets["high_value_orders"].collect())
     assert high == ["o20", "o21", "o23"]
+
+
+def test_repeated_order_ids_stop_the_marts(spark, tmp_path):
+    raw = {
+        "raw_customers": spark.createDataFrame([], typed_schema("raw_customers")),
+        "raw_products": spark.createDataFrame([], typed_schema("raw_products")),
+        "raw_orders": spark.createDataFrame(
+            [("o1", "c", "p", "2024-01-01", Decimal(1), Decimal(1), "USD")] * 2,
+            typed_schema("raw_orders"),
+        ),
+    }
+    database = f"w_{uuid.uuid4().hex}"
+    open_database(spark, database, str(tmp_path / "db"))
+    with pytest.raises(ValueError, match="unique:order_id"):
+        build_warehouse(raw, database, "run-1", date(2025, 9, 5), enforce_keys=True)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
