@@ -6,12 +6,14 @@ from ledgerloom.llm.bit_files import op8_bit_files
 from ledgerloom.llm.neighbours import op7_block_neighbours
 from ledgerloom.llm.packing import op1_best_fit_packing
 from ledgerloom.llm.token_counts import op3_token_counts
+from ledgerloom.llm.toxicity import op4_toxicity
 from ledgerloom.llm.vector_dedup import op5_vector_dedup
 from ledgerloom.llm.warc import ORACLE_OP10, op10_warc
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op5_vector_dedup": op5_vector_dedup,
     "op7_block_neighbours": op7_block_neighbours,
     "op8_bit_files": op8_bit_files,
