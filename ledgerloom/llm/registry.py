@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerloom.llm.bit_files import op8_bit_files
+from ledgerloom.llm.jaccard_join import op2_jaccard_join
 from ledgerloom.llm.neighbours import op7_block_neighbours
 from ledgerloom.llm.packing import op1_best_fit_packing
 from ledgerloom.llm.token_counts import op3_token_counts
@@ -12,6 +13,7 @@ from ledgerloom.llm.warc import ORACLE_OP10, op10_warc
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_vector_dedup": op5_vector_dedup,
