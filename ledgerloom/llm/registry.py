@@ -6,6 +6,7 @@ from ledgerloom.llm.bit_files import op8_bit_files
 from ledgerloom.llm.jaccard_join import op2_jaccard_join
 from ledgerloom.llm.neighbours import op7_block_neighbours
 from ledgerloom.llm.packing import op1_best_fit_packing
+from ledgerloom.llm.suffix_dedup import op9_suffix_dedup
 from ledgerloom.llm.token_counts import op3_token_counts
 from ledgerloom.llm.toxicity import op4_toxicity
 from ledgerloom.llm.vector_dedup import op5_vector_dedup
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_vector_dedup": op5_vector_dedup,
     "op7_block_neighbours": op7_block_neighbours,
     "op8_bit_files": op8_bit_files,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
 }
 
