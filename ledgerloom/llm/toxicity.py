@@ -180,20 +180,21 @@ def features(model: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _features_of(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column("_scored")
             _, at = text_bytes(texts)
             found = [np.zeros((0, 3))]
             for a, b in slices(np.diff(at).tolist(), SCORE_BYTES):
                 data, own = text_bytes(texts.slice(a, b - a))
                 found.append(features(shared.value, data, own))
-            columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "text"]
-            names = [n for n in batch.schema.names if n != "text"]
+            columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_scored"]
+            names = [n for n in batch.schema.names if n != "_scored"]
             both = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(both[:, i]) for i in range(3))], names=[*names, "f0", "f1", "f2"])
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(both[:, i]) for i in range(3))], names=[*names, "_f0", "_f1", "_f2"])
 
     return run
 
 
+FEATURES = "_f0 double, _f1 double, _f2 double"
 LIMITS = ((-0.5, 0.5), (-0.5, 3.5), (0.0, 16.0))
 
 
@@ -227,26 +228,26 @@ class ToxicityModel:
         learn = stored(rows.withColumn("fold", fold("doc_id")), "labelled")
         counted = learn.where("fold < 4").select("text", "toxic")
         self.shared = spark.sparkContext.broadcast(load_model(model_rows(counted)))
-        found = learn.where("fold = 4").select("toxic", "text").mapInArrow(
-            _features_of(self.shared), "toxic int, f0 double, f1 double, f2 double"
+        found = learn.where("fold = 4").select("toxic", F.col("text").alias("_scored")).mapInArrow(
+            _features_of(self.shared), f"toxic int, {FEATURES}"
         )
         bins = [
-            F.least(F.greatest(F.floor((F.col(f"f{i}") - low) * (BINS / (high - low))), F.lit(0)), F.lit(BINS - 1)).alias(f"b{i}")
+            F.least(F.greatest(F.floor((F.col(f"_f{i}") - low) * (BINS / (high - low))), F.lit(0)), F.lit(BINS - 1)).alias(f"b{i}")
             for i, (low, high) in enumerate(LIMITS)
         ]
         cells = found.groupBy(*bins, (F.col("toxic") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()
         self.weights = fit_curve([(r.b0, r.b1, r.b2, r.y, r.n) for r in cells]).tolist()
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """doc_id, score and predicted of every document."""
-        found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-            _features_of(self.shared), "doc_id long, f0 double, f1 double, f2 double"
-        )
+    def score(self, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+        """The columns ``keep`` of every document, its score and predicted."""
+        rows = docs.select(*keep)
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        found = docs.select(*keep, F.col("text").alias("_scored")).mapInArrow(_features_of(self.shared), f"{kinds}, {FEATURES}")
         at = F.lit(self.weights[0])
         for i, w in enumerate(self.weights[1:]):
-            at = at + F.lit(w) * F.col(f"f{i}")
+            at = at + F.lit(w) * F.col(f"_f{i}")
         score = 1 / (1 + F.exp(-F.greatest(F.least(at, F.lit(40.0)), F.lit(-40.0))))
-        return found.select("doc_id", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        return found.select(*keep, score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
