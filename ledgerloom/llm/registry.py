@@ -6,6 +6,7 @@ from ledgerloom.llm.bit_files import op8_bit_files
 from ledgerloom.llm.jaccard_join import op2_jaccard_join
 from ledgerloom.llm.neighbours import op7_block_neighbours
 from ledgerloom.llm.packing import op1_best_fit_packing
+from ledgerloom.llm.sentence_pieces import op6_sentence_pieces
 from ledgerloom.llm.suffix_dedup import op9_suffix_dedup
 from ledgerloom.llm.token_counts import op3_token_counts
 from ledgerloom.llm.toxicity import op4_toxicity
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_vector_dedup": op5_vector_dedup,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_block_neighbours": op7_block_neighbours,
     "op8_bit_files": op8_bit_files,
     "op9_suffix_dedup": op9_suffix_dedup,
