@@ -8,11 +8,15 @@ from pyspark.sql import Column, functions as F
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 SLASHED_SHAPE = r"^\d{4}/\d{2}/\d{2}$"
 MONTH_FIRST_SHAPE = r"^\d{2}/\d{2}/\d{4}$"
+# What a plain cast may get: a four-digit year, month and day, and possibly a time of day.
+PLAIN_SHAPE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?$"
 
 
 def tolerant_date(value: Column) -> Column:
     """Any of the three layouts, else a plain cast; NULL if none fits.
 
+    Years have four digits and start at 1, so no text becomes a far-off day.
+
     A text is brought into ISO shape and cast once: parsing by pattern raises
     and catches an error inside Spark for every text that is in another layout.
     """
@@ -22,9 +26,10 @@ def tolerant_date(value: Column) -> Column:
     iso = (
         F.when(value.rlike(SLASHED_SHAPE), F.translate(value, "/", "-"))
         .when(value.rlike(MONTH_FIRST_SHAPE), month_first)
-        .otherwise(value)
+        .when(value.rlike(PLAIN_SHAPE), value)
     )
-    return iso.try_cast("date")
+    day = iso.try_cast("date")
+    return F.when(day >= F.lit("0001-01-01").cast("date"), day)
 
 
 def strict_date(value: Column) -> Column:

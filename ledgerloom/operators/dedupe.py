@@ -31,11 +31,14 @@ def first_per_key(
     return unique.unionByName(df.where(unknown))
 
 
-def topmost(df: DataFrame, measure: str, key: str, k: int, nulls: str = "first") -> DataFrame:
+def topmost(
+    df: DataFrame, measure: str, key: str | list[str], k: int, nulls: str = "first"
+) -> DataFrame:
     """The ``k`` rows with the largest ``measure``, ties by ``key``.
 
     NULL counts as largest, as in the source dialect, unless ``nulls="last"``.
     """
     m = F.col(measure)
     order = m.desc_nulls_first() if nulls == "first" else m.desc_nulls_last()
-    return df.orderBy(order, F.col(key).asc_nulls_last()).limit(k)
+    keys = [key] if isinstance(key, str) else key
+    return df.orderBy(order, *[F.col(c).asc_nulls_last() for c in keys]).limit(k)

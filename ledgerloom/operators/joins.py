@@ -2,80 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.session import stored
 
-# A key is hot when it holds more than this share of the rows, so at most
-# 1 / HOT_SHARE keys can be hot: a fixed bound for the broadcast list of them.
-HOT_SHARE = 0.001
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate for the rows of ``df``."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True where Spark itself would broadcast ``df`` by its size."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return 0 <= plan_bytes(df) <= int(conf.autoBroadcastJoinThreshold())
-
-
 def lookup_join(
-    fact: DataFrame, lookup: DataFrame, key: str, how: str = "left", salted: bool | None = None
+    fact: DataFrame, lookup: DataFrame, key: str, how: str = "left", shuffled: bool = False
 ) -> DataFrame:
     """Join ``fact`` with ``lookup`` on the column ``key`` of both.
 
-    A lookup below Spark's broadcast threshold is joined as it is. Beyond it
-    both sides are shuffled, and a hot key is spread over as many salts as its
-    row count asks for; ``salted`` forces one of the two ways.
+    Spark broadcasts a lookup below its threshold. Beyond it both sides are
+    shuffled once, and adaptive execution splits the partitions that a hot key
+    or the NULL key makes large; ``shuffled`` asks for that way at any size.
     ``how`` is ``inner``, ``left`` or ``left_anti``.
     """
-    if salted is None:
-        salted = not fits_broadcast(lookup)
-    if not salted:
-        return fact.join(lookup, key, how)
-
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    quota = counts.agg(F.sum("_rows").alias("n")).select(F.col("n") * HOT_SHARE).scalar()
-    hot = counts.where(F.col("_rows") > quota).select(
-        key, F.ceil(F.col("_rows") / quota).cast("int").alias("_salts")
-    )
-    row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
-    # NULL keys match nothing but still travel, so they are spread as well.
-    spread = F.when(F.col(key).isNull(), F.lit(int(1 / HOT_SHARE))).otherwise(F.col("_salts"))
-    left = (
-        fact.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(spread > 0, F.pmod(row_hash, spread)).otherwise(0).cast("int"))
-        .drop("_salts")
-    )
-    right = (
-        lookup.join(F.broadcast(hot), key, "left")
-        .withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-        )
-        .drop("_salts")
-    )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return fact.join(lookup.hint("merge") if shuffled else lookup, key, how)
 
 
 def missing_lookup(
-    fact: DataFrame, lookup: DataFrame, key: str, flag: str, large: bool | None = None
+    fact: DataFrame, lookup: DataFrame, key: str, flag: str, large: bool = False
 ) -> DataFrame:
     """Add ``flag``: true where ``key`` is NULL or not found in ``lookup``.
 
-    A lookup past the broadcast threshold is not joined with the rows. Its keys
-    are taken from the distinct keys of ``fact``, and the keys left over, few
-    in most tables, are stored and joined back by their real size. So the rows
-    are not shuffled, or only where the lost keys are many; ``large`` forces
-    one of the two ways.
+    The rows are joined with the known keys. With ``large``, meant for a lookup
+    far beyond the broadcast threshold with few lost keys, the keys are taken
+    from the distinct keys of ``fact`` instead; those not found are stored and
+    joined back by their real size, so the rows are mostly not shuffled.
     """
     known = lookup.select(key).where(F.col(key).isNotNull()).distinct()
-    if large is None:
-        large = not fits_broadcast(known)
     if not large:
-        marked = fact.join(known.withColumn("_known", F.lit(True)), key, "left")
+        marked = lookup_join(fact, known.withColumn("_known", F.lit(True)), key)
         return marked.withColumn(flag, F.col("_known").isNull()).drop("_known")
     seen = fact.select(key).where(F.col(key).isNotNull()).distinct()
     lost = stored(seen.join(known, key, "left_anti"), "lost-keys")
@@ -96,3 +54,31 @@ def orphan_count(fact: DataFrame, lookup: DataFrame, key: str, name: str) -> Dat
     per_key = fact.groupBy(key).agg(F.count("*").alias("_rows"))
     lost = per_key.join(lookup.select(key), key, "left_anti")
     return lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias(name))
+
+
+def orphan_counts(fact: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+    """One row per key column (missing, n): rows whose key is NULL or in no row of its lookup.
+
+    One pass over the rows counts all keys at once, combined before the
+    shuffle; then each distinct key meets its lookup once.
+    """
+    names = list(lookups)
+    pairs = F.array(*[F.struct(F.lit(n).alias("missing"), F.col(n).cast("string").alias("key")) for n in names])
+    per_key = (
+        fact.select(F.explode(pairs).alias("p"))
+        .groupBy("p.missing", "p.key")
+        .agg(F.count("*").alias("rows"))
+    )
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            lookups[n].select(F.lit(n).alias("missing"), F.col(n).cast("string").alias("key")).where(F.col("key").isNotNull())
+            for n in names
+        ],
+    ).distinct()
+    known = known.withColumn("found", F.lit(True))
+    return (
+        per_key.join(known, ["missing", "key"], "left")
+        .groupBy("missing")
+        .agg(F.coalesce(F.sum(F.when(F.col("found").isNull(), F.col("rows"))), F.lit(0)).alias("n"))
+    )

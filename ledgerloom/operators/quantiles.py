@@ -8,9 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.operators.joins import plan_bytes
 
-SMALL_BYTES = 16 * 1024 * 1024  # up to here one task may order all distinct values
 ACCURACY = 10_000  # rank error of the sketches: rows / ACCURACY
 BRACKET_ROWS = 1_000_000  # a bracket is narrowed until it holds no more rows
 MAX_ROUNDS = 8
@@ -39,13 +37,13 @@ class Bracket(NamedTuple):
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: list[float], bracketed: bool | None = None
+    df: DataFrame, column: str, probabilities: list[float], bracketed: bool = True
 ) -> list[Middle | None]:
     """Exact interpolated quantiles of the non-null values, as plain numbers.
 
     Runs jobs at once, as ``approxQuantile`` does; give it a stored table
-    rather than a long plan. Input that is small by Spark's estimate takes one
-    job. Otherwise a sketch brackets each rank, one pass counts the rows under
+    rather than a long plan. ``bracketed=False`` orders all distinct values in one
+    task: one job, for input that is known to be small. Otherwise a sketch brackets each rank, one pass counts the rows under
     and in each bracket, wide brackets are narrowed the same way, and only the
     values inside are grouped and ordered. Every answer rests on exact counts;
     the sketch only chooses the brackets. None stands for an empty column.
@@ -53,8 +51,6 @@ def exact_quantiles(
     values = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
-    if bracketed is None:
-        bracketed = plan_bytes(df.select(column)) > SMALL_BYTES
     if bracketed:
         return _by_brackets(values, probabilities)
     return _by_one_order(values, probabilities)

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ledgerloom.functions.dates import tolerant_date
 from ledgerloom.functions.labels import deviation_status
 
 
-def daily_totals(df: DataFrame, day: str, amount: str) -> DataFrame:
-    """Sum per calendar day; rows without a day form one more group."""
-    return df.groupBy(F.col(day).cast("date").alias("order_day")).agg(
+def daily_totals(df: DataFrame, day: str, amount: str, tolerant: bool = False) -> DataFrame:
+    """Sum per calendar day; rows without a day form one more group.
+
+    A text that is no date fails the query, or counts as no day if ``tolerant``.
+    """
+    is_text = df.schema[day].dataType == T.StringType()
+    value = tolerant_date(F.col(day)) if tolerant and is_text else F.col(day).cast("date")
+    return df.groupBy(value.alias("order_day")).agg(
         F.sum(amount).alias("daily_revenue")
     )
 

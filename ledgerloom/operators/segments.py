@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.operators.quantiles import exact_quantiles
 
 TIERS = ("Low", "Medium", "High")
 
 
-def tercile_segments(df: DataFrame, measure: str) -> DataFrame:
+def tercile_segments(df: DataFrame, measure: str, bracketed: bool = True) -> DataFrame:
     """Add ``segment`` and ``segment_rank`` by the terciles of ``measure``.
 
     Bins are closed on the right, the lowest value included; equal edges are an
     error. Rows without a measure get no segment.
     """
-    quarts = exact_quantiles(df, measure, [0.0, 1 / 3, 2 / 3, 1.0])
+    quarts = exact_quantiles(df, measure, [0.0, 1 / 3, 2 / 3, 1.0], bracketed)
     value = F.col(measure).cast("double")
     if None in quarts:
         return df.withColumn("segment", F.lit(None).cast("string")).withColumn(
@@ -37,6 +37,6 @@ def segment_totals(segmented: DataFrame, measure: str) -> DataFrame:
 
 
 def with_share(grouped: DataFrame, measure: str, name: str = "share") -> DataFrame:
-    """Add each group's part of the whole; ``grouped`` has one row per group."""
-    whole = grouped.agg(F.sum(measure).cast("double")).scalar()
+    """Add each group's part of the whole; ``grouped`` has one row per group, few in all."""
+    whole = F.sum(measure).over(Window.partitionBy()).cast("double")
     return grouped.withColumn(name, F.try_divide(F.col(measure).cast("double"), whole))

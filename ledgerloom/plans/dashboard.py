@@ -11,8 +11,9 @@ from ledgerloom.session import stored
 
 
 def customer_segments(fact: DataFrame) -> DataFrame:
-    """Revenue tiers of the top customers; their few rows are stored first."""
-    return tercile_segments(stored(top_customers(fact), "top-customers"), "total_revenue")
+    """Revenue tiers of the top customers; their few rows are stored first and ordered at once."""
+    top = stored(top_customers(fact), "top-customers")
+    return tercile_segments(top, "total_revenue", bracketed=False)
 
 
 def segment_revenue(fact: DataFrame) -> DataFrame:

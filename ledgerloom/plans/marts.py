@@ -32,7 +32,7 @@ def top_customers_named(
         .groupBy("customer_id", "customer_name")
         .agg(F.sum("revenue").alias("total_revenue"))
     )
-    top = topmost(merged, "total_revenue", "customer_id", k, nulls)
+    top = topmost(merged, "total_revenue", ["customer_id", "customer_name"], k, nulls)
     chosen = F.broadcast(top.select("customer_id").distinct())  # at most k rows
     orders = (
         fact.select("customer_id", "order_id")
@@ -41,7 +41,7 @@ def top_customers_named(
         .agg(F.count_distinct("order_id").alias("total_orders"))
     )
     counted = top.join(F.broadcast(orders), "customer_id")
-    return topmost(counted, "total_revenue", "customer_id", k, nulls)
+    return topmost(counted, "total_revenue", ["customer_id", "customer_name"], k, nulls)
 
 
 def customer_spend(
@@ -60,6 +60,20 @@ def customer_spend(
     return topmost(merged, "total_spent", "customer_name", k, nulls)
 
 
+def category_revenue(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Revenue per category of sold quantities (product_id, quantity).
+
+    Quantities are summed per product first; one join then brings price and
+    category, so neither the lines nor a hot product meet the join.
+    """
+    sums = sales.groupBy("product_id").agg(F.sum("quantity").alias("sold"))
+    return (
+        sums.join(products.select("product_id", "category", "price"), "product_id")
+        .groupBy("category")
+        .agg(F.sum(F.col("sold") * F.col("price")).alias("category_revenue"))
+    )
+
+
 def category_sales(fact: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue per category of the known products, summed per product first."""
     sums = fact.groupBy("product_id").agg(F.sum("order_amount").alias("revenue"))
@@ -70,9 +84,13 @@ def category_sales(fact: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def sales_anomalies(fact: DataFrame) -> DataFrame:
-    """Daily revenue against its rolling week."""
-    return rolling_anomalies(daily_totals(fact, "order_date", "order_amount"))
+def sales_anomalies(fact: DataFrame, tolerant: bool = True) -> DataFrame:
+    """Daily revenue against its rolling week.
+
+    Text dates in no known layout form the group without a day; with
+    ``tolerant=False``, as the model has it, they fail the query.
+    """
+    return rolling_anomalies(daily_totals(fact, "order_date", "order_amount", tolerant))
 
 
 def revenue_by_month(fact: DataFrame, dates: DataFrame) -> DataFrame:
@@ -86,6 +104,11 @@ def revenue_by_month(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
+def in_reading_order(df: DataFrame, *columns: str) -> DataFrame:
+    """A served table in the order its readers ask for; NULL comes last."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+
+
 def new_customers_daily(customers: DataFrame) -> DataFrame:
     """Sign-ups per day."""
     return customers.groupBy("signup_date").agg(F.count("*").alias("new_customers"))

@@ -183,6 +183,16 @@ ORACLES: dict[str, str] = {
              round(sd, 2) AS rolling_std_7d,
              CASE WHEN abs(x - m) > 2 * sd THEN 'ANOMALY' ELSE 'NORMAL' END AS status
       FROM stats""",
+    "sales_anomalies_text": f"""WITH {ORDERS},
+      texts AS (SELECT CASE WHEN CAST(order_id AS BIGINT) % 4 < 3 THEN order_date END AS order_day,
+                       order_amount FROM heads),
+      days AS (SELECT order_day, CAST(sum(order_amount) AS DOUBLE) AS x FROM texts GROUP BY 1),
+      stats AS (SELECT order_day, x, avg(x) OVER w AS m, stddev_samp(x) OVER w AS sd
+                FROM days WINDOW w AS (ORDER BY order_day NULLS LAST
+                                       ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
+      SELECT order_day, round(x, 2) AS daily_revenue, round(m, 2) AS rolling_avg_7d,
+             CASE WHEN abs(x - m) > 2 * sd THEN 'ANOMALY' ELSE 'NORMAL' END AS status
+      FROM stats""",
     "top_customers": f"""WITH {TOP_TEN}
       SELECT customer_id, {money('total_revenue', 'total_revenue')} FROM top10""",
     "top_customers_by_lines": f"""WITH {ENRICHED}
@@ -332,6 +342,12 @@ ORACLES: dict[str, str] = {
       FROM heads
       WHERE order_amount > (SELECT percentile_cont(0.9) WITHIN GROUP
                               (ORDER BY CAST(order_amount AS DOUBLE)) FROM heads)""",
+    "high_value_orders_tied": f"""WITH {ORDERS}, tied AS (
+        SELECT order_id, customer_id, order_date,
+               CAST(floor(order_amount / 50000) * 0.29 AS DECIMAL(12,2)) AS a FROM heads)
+      SELECT order_id, customer_id, order_date, CAST(a AS DOUBLE) AS order_amount FROM tied
+      WHERE CAST(a AS DOUBLE) > (SELECT percentile_cont(0.9) WITHIN GROUP
+                                   (ORDER BY CAST(a AS DOUBLE)) FROM tied)""",
     "quantile_profile": f"""WITH {ORDERS}, q AS (
         SELECT percentile_cont(1.0/3) WITHIN GROUP (ORDER BY CAST(order_amount AS DOUBLE)) AS a,
                percentile_cont(0.5) WITHIN GROUP (ORDER BY CAST(order_amount AS DOUBLE)) AS b,
@@ -411,6 +427,10 @@ ORACLES: dict[str, str] = {
       UNION ALL
       SELECT 'my_second_model', count(*), count(*) - count(id), count(id) - count(DISTINCT id), 0
       FROM second_model""",
+    "catalog_listing": """SELECT * FROM (VALUES
+        ('order_id', 'string'), ('customer_id', 'string'), ('order_date', 'date'),
+        ('order_amount', 'decimal(10,2)'), ('total_amount', 'decimal(10,2)'))
+        AS t(col_name, data_type)""",
     "preview_rows": f"""WITH {CUSTOMERS}
       SELECT customer_id, first_name, last_name, country FROM cust
       ORDER BY customer_id LIMIT 5""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from decimal import ROUND_FLOOR, Decimal
+from decimal import ROUND_HALF_EVEN, Decimal
 from functools import reduce
 from typing import NamedTuple
 
@@ -88,14 +88,15 @@ def high_value_orders(fact: DataFrame, share: float = 0.9) -> DataFrame:
     """Orders above the given quantile of the order amount.
 
     The limit is found first and filters as a literal of the column's own type,
-    so it reaches the scan.
+    so it reaches the scan. Decimals of up to 15 digits are exact.
     """
     limit = exact_quantiles(fact, "order_amount", [share])[0]
     if limit is None:
         return fact.where(F.lit(False))
-    bound, dtype = limit.value, fact.schema["order_amount"].dataType
+    dtype = fact.schema["order_amount"].dataType
+    # No value lies between the two order statistics around the quantile, so
+    # "above the quantile" is "above the lower one", which is a value of the column.
+    bound = limit.low
     if isinstance(dtype, T.DecimalType):
-        # Above the limit means above the last value of this scale up to it.
-        step = Decimal(1).scaleb(-dtype.scale)
-        bound = Decimal(bound).quantize(step, ROUND_FLOOR)
+        bound = Decimal(bound).quantize(Decimal(1).scaleb(-dtype.scale), ROUND_HALF_EVEN)
     return fact.where(F.col("order_amount") > F.lit(bound).cast(dtype))

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions import dates, labels
 from ledgerloom.operators import checks, dedupe, segments
-from ledgerloom.operators.joins import lookup_join, missing_lookup, orphan_count, orphan_rows
+from ledgerloom.operators.joins import lookup_join, missing_lookup, orphan_rows
+from ledgerloom.operators.joins import orphan_counts as orphan_counts_of
 from ledgerloom.operators.outliers import impute_with_median
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.plans import dashboard, marts, quality, star
@@ -63,6 +64,14 @@ def sales_anomalies(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def sales_anomalies_text(spark: SparkSession, d: str) -> DataFrame:
+    """Text dates in three layouts, every fourth unreadable."""
+    text = adapters.date_text(F.col("order_id").cast("long"), F.col("order_date"))
+    rows = marts.sales_anomalies(adapters.order_headers(spark, d).withColumn("order_date", text))
+    return rows.select("order_day", money("daily_revenue"), money("rolling_avg_7d"), "status")
+
+
 @query
 def top_customers(spark: SparkSession, d: str) -> DataFrame:
     rows = marts.top_customers(adapters.order_headers(spark, d))
@@ -95,9 +104,8 @@ def customer_spend(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def product_category_sales(spark: SparkSession, d: str) -> DataFrame:
-    products = adapters.products(spark, d)
-    fact = star.enriched_orders(adapters.product_sales(spark, d), products)
-    return marts.category_sales(fact, products).select("category", money("category_revenue"))
+    rows = marts.category_revenue(adapters.product_sales(spark, d), adapters.products(spark, d))
+    return rows.select("category", money("category_revenue"))
 
 
 @query
@@ -165,7 +173,8 @@ def dim_products_conformed(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def fact_orders_conformed(spark: SparkSession, d: str) -> DataFrame:
-    rows = star.conformed_orders(adapters.loose_orders(spark, d))
+    raw = stored(adapters.loose_orders(spark, d), "loose-orders")
+    rows = star.conformed_orders(raw)
     return rows.withColumns(as_double("quantity", "total_amount"))
 
 
@@ -185,9 +194,9 @@ def orders_enriched(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def orders_enriched_salted(spark: SparkSession, d: str) -> DataFrame:
-    """The join that a product table past the broadcast threshold gets."""
+    """The join that a product table past the broadcast threshold gets, hot keys split."""
     products = adapters.faulty_products(spark, d).select("product_id", "price")
-    rows = lookup_join(_landed_orders(spark, d), products, "product_id", "left", salted=True)
+    rows = lookup_join(_landed_orders(spark, d), products, "product_id", "left", shuffled=True)
     return rows.select(
         "order_id",
         "customer_id",
@@ -228,13 +237,12 @@ def missing_keys(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def orphan_counts(spark: SparkSession, d: str) -> DataFrame:
-    orders = _landed_orders(spark, d, "customer_id", "product_id")
-    lost = {
-        "customers": orphan_count(orders, adapters.customers(spark, d), "customer_id", "n"),
-        "products": orphan_count(orders, adapters.products(spark, d), "product_id", "n"),
-    }
-    parts = [df.select(F.lit(name).alias("missing"), "n") for name, df in lost.items()]
-    return parts[0].unionByName(parts[1])
+    rows = orphan_counts_of(
+        adapters.faulty_orders(spark, d),
+        {"customer_id": adapters.customers(spark, d), "product_id": adapters.products(spark, d)},
+    )
+    table = F.when(F.col("missing") == "customer_id", "customers").otherwise("products")
+    return rows.select(table.alias("missing"), "n")
 
 
 @query
@@ -394,6 +402,15 @@ def high_value_orders(spark: SparkSession, d: str) -> DataFrame:
     return rows.withColumns(as_double("order_amount"))
 
 
+@query
+def high_value_orders_tied(spark: SparkSession, d: str) -> DataFrame:
+    """Amounts in steps of 0.29, so that the limit is the value of many orders."""
+    tied = (F.floor(F.col("order_amount") / 50_000) * F.lit("0.29").cast("decimal(4,2)")).cast("decimal(12,2)")
+    orders = adapters.order_headers(spark, d).drop("total_amount")
+    rows = quality.high_value_orders(stored(orders.withColumn("order_amount", tied), "tied"))
+    return rows.withColumns(as_double("order_amount"))
+
+
 @query
 def quantile_profile(spark: SparkSession, d: str) -> DataFrame:
     """Quantiles by the bracket search, joined to rows counted against them."""
@@ -438,9 +455,8 @@ def segment_revenue(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def category_share(spark: SparkSession, d: str) -> DataFrame:
-    products = adapters.products(spark, d)
-    fact = star.enriched_orders(adapters.product_sales(spark, d), products)
-    rows = dashboard.category_share(fact, products)
+    grouped = marts.category_revenue(adapters.product_sales(spark, d), adapters.products(spark, d))
+    rows = segments.with_share(grouped, "category_revenue")
     return rows.select(
         "category", money("category_revenue"), F.round("share", 6).alias("share")
     )

@@ -12,6 +12,12 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Splitting a hot key's partition is worth another exchange after the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # State of streams lives on disk with an index in memory, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_base: dict[str, str] = {}

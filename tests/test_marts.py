@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.calendar import MAX_DAYS
+from ledgerloom.functions.dates import tolerant_date
+from ledgerloom.operators.calendar import day_series
 from ledgerloom.operators.segments import tercile_segments, with_share
 from ledgerloom.plans import marts, star
+from ledgerloom.plans.quality import high_value_orders
 
 AS_OF = date(2025, 9, 5)
 FACT = "order_id string, customer_id string, product_id string, order_amount double"
@@ -118,7 +121,45 @@ def test_calendar_of_no_orders_and_of_a_long_span(spark):
     ends = days.agg(F.min("date_key"), F.max("date_key"), F.count("*")).first()
     assert tuple(ends) == (AS_OF - timedelta(365), AS_OF + timedelta(365), 731)
     long = spark.createDataFrame([("1950-01-01",), ("2020-01-01",)], "order_date string")
-    assert star.calendar_dates(long, AS_OF).count() == MAX_DAYS
+    assert star.calendar_dates(long, AS_OF).count() == (date(2020, 1, 1) - date(1950, 1, 1)).days + 1
+
+
+def test_a_stray_early_date_loses_no_revenue(spark):
+    rows = [("1", "c", "p", "0001-01-01", "1", "5.00", "USD"), ("2", "c", "p", "2024-01-01", "1", "7.00", "USD")]
+    names = "order_id string, customer_id string, product_id string, order_date string, quantity string, total_amount string, currency string"
+    raw = spark.createDataFrame(rows, names)
+    months = marts.revenue_by_month(star.conformed_orders(raw), star.calendar_dates(raw, AS_OF))
+    assert {r.year: float(r.revenue) for r in months.collect()} == {1: 5.0, 2024: 7.0}
+
+
+def test_a_calendar_longer_than_allowed_is_an_error(spark):
+    span = spark.createDataFrame([(date(2024, 1, 1), date(2024, 1, 31))], "first_day date, last_day date")
+    assert day_series(span, 31).count() == 31
+    with pytest.raises(Exception, match="more than 30 days"):
+        day_series(span, 30).count()
+
+
+def test_text_that_is_no_day_of_four_digit_years(spark):
+    texts = ["100000-01-01", "+20240-01-01", "2025", "0000-01-01", "2025-13-01", "2025-3-1", "2025-03-01 10:00:00", "2025/03/01", "03/01/2025"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tolerant_date(F.col("t")).alias("d")).collect()
+    assert [r.d for r in rows] == [None] * 5 + [date(2025, 3, 1)] * 4
+
+
+def test_unreadable_text_dates_are_one_group(spark):
+    fact = spark.createDataFrame([("2024-01-01", 1.0), ("bad", 2.0), (None, 4.0)], "order_date string, order_amount double")
+    assert {r.order_day: r.daily_revenue for r in marts.sales_anomalies(fact).collect()} == {date(2024, 1, 1): 1.0, None: 6.0}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        marts.sales_anomalies(fact, tolerant=False).count()
+
+
+def test_rows_equal_to_the_limit_are_not_above_it(spark):
+    fact = spark.createDataFrame([(Decimal("0.10"),)] * 80 + [(Decimal("0.29"),)] * 20, "order_amount decimal(10,2)")
+    assert high_value_orders(fact).count() == 0
+
+
+def test_readers_get_sorted_rows(spark):
+    fact = spark.createDataFrame([("b", 1), ("a", 2), (None, 3)], "category string, n int")
+    assert [r.category for r in marts.in_reading_order(fact, "category").collect()] == ["a", "b", None]
 
 
 def test_calendar_columns(spark):

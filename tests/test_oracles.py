@@ -10,6 +10,7 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from ledgerloom.operators import quantiles
+from ledgerloom.plans.testbed import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -65,7 +66,7 @@ def compare(spark, db, sf_dir, name):
     assert not different, f"{len(different)} of {len(got)} rows differ: {different[:3]}"
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, sf_dir, name):
     compare(spark, db, sf_dir, name)
 
@@ -75,7 +76,9 @@ LARGE = (
     "all_customer_segments",
     "csv_ingest",
     "fact_orders_conformed",
+    "category_share",
     "high_value_orders",
+    "high_value_orders_tied",
     "issue_log",
     "issue_log_known_prices",
     "orders_enriched",
@@ -96,7 +99,6 @@ LARGE = (
 @pytest.mark.parametrize("name", LARGE)
 def test_query_equals_sql_as_for_large_tables(spark, small_db, small_dir, name, monkeypatch):
     """No lookup may be broadcast, and no quantile may order a whole column."""
-    monkeypatch.setattr(quantiles, "SMALL_BYTES", -1)
     monkeypatch.setattr(quantiles, "BRACKET_ROWS", 50)
     keys = ("spark.sql.autoBroadcastJoinThreshold",)
     keep = {k: spark.conf.get(k) for k in keys}
