@@ -406,6 +406,9 @@ ORACLES: dict[str, str] = {
              reject_reason FROM checked""",
     "customer_transform": f"""WITH {CUSTOMERS}
       SELECT *, first_name || ' ' || last_name AS full_name FROM cust""",
+    "csv_multiline": """SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+             p_name || CASE WHEN p_partkey % 3 = 0 THEN chr(10) || '"second" line, more' ELSE '' END
+               AS product_name, FALSE AS rejected FROM part""",
     "store_roundtrip": f"""WITH {ORDERS}, kept AS (
         SELECT order_id FROM heads WHERE order_amount > 400000)
       SELECT 'orders' AS table_name, count(*) AS n_rows, count(DISTINCT order_id) AS n_orders,

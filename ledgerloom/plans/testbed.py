@@ -498,6 +498,20 @@ def csv_ingest(spark: SparkSession, d: str) -> DataFrame:
     return kept.unionByName(bad.select(*names, "reject_reason"))
 
 
+@query
+def csv_multiline(spark: SparkSession, d: str) -> DataFrame:
+    """Product names with line breaks inside quotes stay in one row."""
+    broken = F.concat(F.col("product_name"), F.lit("\n\"second\" line, more"))
+    rows = adapters.products(spark, d).withColumn(
+        "product_name", F.when(F.col("product_id").cast("long") % 3 == 0, broken).otherwise(F.col("product_name"))
+    )
+    path = shared_folder(spark, "broken-lines-csv")
+    csv_files.write_csv(rows.select(*[f.name for f in RAW_TABLES["raw_products"]]), path)
+    good, bad = csv_files.load_csv(spark, path, "raw_products")
+    kept = good.select("product_id", "product_name", F.lit(False).alias("rejected"))
+    return kept.unionByName(bad.select("product_id", "product_name", F.lit(True).alias("rejected")))
+
+
 @query
 def customer_transform(spark: SparkSession, d: str) -> DataFrame:
     """Extract to CSV, read typed, add the full name, write, read back."""
@@ -536,8 +550,9 @@ def store_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     store.append_run(issues, db, "issues", "run-2")
     early = orders.where(F.col("order_amount") <= 100_000)
     store.replace_table(early, db, "loaded")
-    store.append_new_keys(orders, db, "loaded", ["order_id"])
-    store.append_new_keys(orders, db, "loaded", ["order_id"])
+    # The load holds every order twice, and comes twice.
+    store.append_new_keys(orders.unionByName(orders), db, "loaded", ["order_id"])
+    store.append_new_keys(orders.unionByName(orders), db, "loaded", ["order_id"])
     names = ("orders", "amounts", "orders_backup", "issues", "loaded")
     parts = [
         spark.table(f"{db}.{name}").agg(
@@ -746,7 +761,10 @@ def _known_customers(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_alerts(spark: SparkSession, d: str) -> DataFrame:
-    find = streams.alert_batch(_known_customers(spark, d), "click_id", "customer_id", "value")
+    known = streams.reference_of(adapters.table(spark, d, "events"), "value")
+    find = streams.alert_batch(
+        _known_customers(spark, d), "click_id", "customer_id", "value", known
+    )
     rows = streams.drain_batches(
         _event_clicks(spark, d),
         shared_folder(spark, "alerts"),

@@ -10,7 +10,7 @@ from ledgerloom.operators.checks import missing_counts, repeated_keys
 from ledgerloom.operators.dedupe import first_per_key
 from ledgerloom.plans import marts, star
 from ledgerloom.plans.quality import clean_fact, flag_fact, issue_log
-from ledgerloom.sources.store import append_run, replace_table, replace_view
+from ledgerloom.sources.store import append_run, materialize, replace_table, replace_view
 
 
 def build_warehouse(
@@ -19,8 +19,15 @@ def build_warehouse(
     run_id: str,
     as_of: date,
     enforce_keys: bool = False,
+    impute: bool = True,
+    marts_as: str = "table",
 ) -> dict[str, DataFrame]:
-    """Write the tables of ``database`` and publish the marts as views.
+    """Write the tables of ``database`` and publish the marts.
+
+    Marts are small and stored as tables, which other sessions see too;
+    ``marts_as="view"`` makes them views of this session, always up to date.
+    With ``impute=False`` the clean fact is the fact as staged: outliers and
+    orphan keys are logged, not replaced.
 
     ``raw`` holds accepted raw tables. Customers and products that come with an
     ``ingest_order`` are reduced to one row per key. Only tables that are read
@@ -59,7 +66,7 @@ def build_warehouse(
         database,
         "fact_orders_flagged",
     )
-    clean = clean_fact(flagged, ["order_id", "customer_id", "product_id"])
+    clean = clean_fact(flagged, ["order_id", "customer_id", "product_id"]) if impute else fact
     built["fact_orders_clean"] = replace_table(clean, database, "fact_orders_clean")
     issues = append_run(issue_log(flagged, run_id), database, "data_quality_issues", run_id)
     if issues is not None:
@@ -84,7 +91,7 @@ def build_warehouse(
         "anomalies": marts.sales_anomalies(clean),
         "revenue_by_month": marts.revenue_by_month(conformed, built["dim_date_conformed"]),
     }.items():
-        built[name] = replace_view(df, name)
+        built[name] = materialize(df, name, marts_as, database)
     return built
 
 

@@ -22,12 +22,13 @@ CSV_OPTIONS = {
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, table: str, multiline: bool = False
+    spark: SparkSession, path: str, table: str, multiline: bool = True
 ) -> DataFrame:
     """Read files as text columns plus ``ingest_order``, the place of the row.
 
-    Short rows are padded with NULL, extra fields are dropped. Files with line
-    breaks inside quotes need ``multiline``, which keeps a file in one task.
+    Short rows are padded with NULL, extra fields are dropped. Quoted fields may
+    hold line breaks, so a file is read by one task. ``multiline=False`` splits
+    large files; it is for files that are known to have no such fields.
     """
     raw = (
         spark.read.schema(text_schema(table))
@@ -86,7 +87,7 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 
 def load_csv(
-    spark: SparkSession, path: str, table: str, multiline: bool = False
+    spark: SparkSession, path: str, table: str, multiline: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, quarantined rows) of the files under ``path``."""
     checked = check_rows(read_csv_text(spark, path, table, multiline), table)
@@ -94,7 +95,7 @@ def load_csv(
 
 
 def land_csv(
-    spark: SparkSession, path: str, table: str, target: str, multiline: bool = False
+    spark: SparkSession, path: str, table: str, target: str, multiline: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Parse the files once into Parquet, split by outcome, and read both parts back."""
     checked = check_rows(read_csv_text(spark, path, table, multiline), table)

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.operators.joins import lookup_join
+from ledgerloom.operators.dedupe import first_per_key
 
 
 def open_database(spark: SparkSession, name: str, location: str) -> None:
@@ -25,7 +25,14 @@ def _new_path(spark: SparkSession, database: str, name: str) -> str:
 
 def _point(spark: SparkSession, database: str, name: str, path: str) -> DataFrame:
     table = f"`{database}`.`{name}`"
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    shape = spark.read.parquet(path).schema
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        if spark.table(table).schema.simpleString() == shape.simpleString():
+            # One change in the catalog: readers find either the old rows or the new ones.
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE {table}")
     spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
     return spark.table(table)
 
@@ -33,7 +40,8 @@ def _point(spark: SparkSession, database: str, name: str, path: str) -> DataFram
 def replace_table(df: DataFrame, database: str, name: str) -> DataFrame:
     """Write the rows to a new folder, then point the table at it.
 
-    The old folder stays, so ``df`` may read the table it replaces.
+    The switch is one step unless the columns change. The old folder stays, so
+    ``df`` and readers that have started may still read the table it replaces.
     """
     spark = df.sparkSession
     path = _new_path(spark, database, name)
@@ -68,34 +76,37 @@ def append_run(df: DataFrame, database: str, name: str, run_id: str) -> DataFram
     spark = df.sparkSession
     table = f"`{database}`.`{name}`"
     exists = spark.catalog.tableExists(f"{database}.{name}")
-    if not exists and df.isEmpty():
-        return None
     # A fixed folder, so that a rerun meets the partition it wrote before.
     path = f"{database_location(spark, database)}/{name}-runs"
     rows = df.drop("run_id")
     rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
     if not exists:
+        if spark.read.schema(rows.schema).parquet(f"{path}/run_id={run_id}").isEmpty():
+            return None
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         spark.sql(
             f"CREATE TABLE {table} ({columns}, run_id STRING) USING parquet "
             f"PARTITIONED BY (run_id) LOCATION '{path}'"
         )
-    spark.catalog.recoverPartitions(table)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (run_id = '{run_id}')")
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
 def append_new_keys(df: DataFrame, database: str, name: str, keys: list[str]) -> DataFrame:
-    """Incremental load: add the rows whose key the table does not hold yet."""
+    """Incremental load: add the rows whose key the table does not hold yet.
+
+    Of rows that repeat a key within the load one is added, the same one
+    whenever the load is repeated. Rows without a key are all added.
+    """
     spark = df.sparkSession
+    place = F.xxhash64(*[F.col(c) for c in df.columns])
+    df = first_per_key(df.withColumn("_place", place), keys, "_place").drop("_place")
     if not spark.catalog.tableExists(f"{database}.{name}"):
         return replace_table(df, database, name)
     held = spark.table(f"{database}.{name}")
     known = held.select(*keys).distinct()
-    if len(keys) == 1:
-        fresh = lookup_join(df, known, keys[0], "left_anti").select(*held.columns)
-    else:
-        fresh = df.join(known, keys, "left_anti").select(*held.columns)
+    fresh = df.join(known, keys, "left_anti").select(*held.columns)
     # Written aside first: the table must not change while it is read.
     path = _new_path(spark, database, f"{name}-delta")
     fresh.write.mode("errorifexists").parquet(path)

@@ -6,11 +6,11 @@ Event times are wall-clock times in UTC, so the session zone has to be UTC.
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerloom.operators.joins import lookup_join, missing_lookup
-from ledgerloom.plans.quality import flag_outliers
 
 DELAY = "1 hour"
 SESSION_GAP = "30 minutes"
@@ -150,27 +150,41 @@ def latest_counts(updates: DataFrame, keys: list[str], measure: str) -> DataFram
 def enrich_batch(customers: DataFrame, key: str) -> Callable[[DataFrame], DataFrame]:
     """Batch handler that adds the customer columns to the clicks.
 
-    Inside a batch the join is an ordinary one, so a hot customer is salted
+    Inside a batch the join is an ordinary one, so a hot customer's rows are split
     when the customer table is too large to broadcast.
     """
     return lambda batch: lookup_join(batch, customers, key, "left")
 
 
+class Reference(NamedTuple):
+    """Mean and population deviation of a measure over its stored history."""
+
+    mean: float | None
+    deviation: float | None
+
+
+def reference_of(history: DataFrame, measure: str) -> Reference:
+    return Reference(*history.agg(F.avg(measure), F.stddev_pop(measure)).first())
+
+
 def alert_batch(
-    customers: DataFrame, click_key: str, customer_key: str, measure: str
+    customers: DataFrame,
+    click_key: str,
+    customer_key: str,
+    measure: str,
+    reference: Reference,
+    threshold: float = 3.0,
 ) -> Callable[[DataFrame], DataFrame]:
     """Batch handler that lists unknown customers and outlying measures.
 
-    The deviation of a measure is taken within its batch.
+    A measure is held against the ``reference``, not against its own batch, so
+    the alerts do not depend on how the stream is cut into batches.
     """
+    far = F.abs(F.col(measure) - F.lit(reference.mean)) > F.lit(threshold) * F.lit(reference.deviation)
 
     def find(batch: DataFrame) -> DataFrame:
-        flagged = missing_lookup(
-            flag_outliers(batch, [measure], null_policy="omit"),
-            customers.select(customer_key),
-            customer_key,
-            "orphan",
-        )
+        outlying = batch.withColumn(f"outlier_{measure}", F.coalesce(far, F.lit(False)))
+        flagged = missing_lookup(outlying, customers.select(customer_key), customer_key, "orphan")
         raised = F.array(
             F.when(F.col("orphan"), F.lit(f"orphan_{customer_key}")),
             F.when(F.col(f"outlier_{measure}"), F.lit(f"outlier_{measure}")),

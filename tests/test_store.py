@@ -93,3 +93,16 @@ def test_work_folder_follows_the_session(spark):
     assert folder.endswith("/x") and folder != shared_folder(spark, "x")
     if base:
         assert folder.startswith(base)
+
+
+def test_repeats_within_a_load_are_added_once(spark, db):
+    load = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "id int, v string")
+    store.append_new_keys(load.where("id = 1"), db, "t", ["id"])
+    rows = store.append_new_keys(load.orderBy("v"), db, "t", ["id"]).collect()
+    assert sorted(str(r.id) for r in rows) == ["1", "2", "None"]
+
+
+def test_replacing_equal_columns_keeps_the_table(spark, db):
+    store.replace_table(spark.range(2), db, "t")
+    store.replace_table(spark.range(5, 7), db, "t")
+    assert ids(spark.table(f"{db}.t")) == [5, 6]

@@ -77,3 +77,21 @@ def test_restart_goes_on_where_it_stopped(spark, feed, tmp_path):
     clicks.drain_batches(feed([(1, 7, 0)]), target)
     rows = clicks.drain_batches(feed([(2, 7, 1)]), target)
     assert sorted(r.click_id for r in rows.collect()) == [1, 2]
+
+
+def test_alerts_do_not_depend_on_batches(spark, tmp_path):
+    rows = [(i, i % 9, START, 1000.0 if i % 100 == 7 else float(i % 10)) for i in range(1000)] + [(2000, 1, START, None)]
+    history = spark.createDataFrame(rows, "click_id long, customer_id long, ts timestamp_ntz, value double")
+    known = spark.createDataFrame([(i,) for i in range(8)], "customer_id long")
+    find = clicks.alert_batch(known, "click_id", "customer_id", "value", clicks.reference_of(history, "value"))
+    found = []
+    for files in (1, 25):
+        folder = str(tmp_path / f"in{files}")
+        history.repartition(files).write.parquet(folder)
+        stream = clicks.click_source(spark, folder, history.schema, maxFilesPerTrigger="1")
+        schema = "click_id long, customer_id long, value double, issue_type string"
+        got = clicks.drain_batches(stream, str(tmp_path / f"out{files}"), find, schema=schema)
+        found.append(sorted((r.click_id, r.issue_type) for r in got.collect()))
+    assert found[0] == found[1]
+    assert sum(kind == "outlier_value" for _, kind in found[0]) == 10
+    assert sum(kind == "orphan_customer_id" for _, kind in found[0]) == 111
