@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +19,6 @@ def _slots(values: np.ndarray) -> np.ndarray:
 
 def bitmap(df: DataFrame, column: str) -> np.ndarray:
     """2**26 bits (8 MB, whatever the input). The driver gets at most 2**20 words of them."""
-    import pyarrow as pa
-
     def slots(batches):
         for batch in batches:
             slot = np.unique(_slots(batch.column(0).to_numpy()))
@@ -35,6 +34,20 @@ def bitmap(df: DataFrame, column: str) -> np.ndarray:
     return out
 
 
+def rows_that_may_match(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` may be among ``keys``, so that a join shuffles few others. NULL never is."""
+    bits = df.sparkSession.sparkContext.broadcast(bitmap(keys, key))
+    at = df.columns.index(column)
+
+    def run(batches):
+        for batch in batches:
+            values = batch.column(at)
+            held = may_hold(bits.value, values.fill_null(0).to_numpy(zero_copy_only=False))
+            yield batch.filter(pa.array(held & values.is_valid().to_numpy(zero_copy_only=False)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def may_hold(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     slot = _slots(values)
     return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) > 0

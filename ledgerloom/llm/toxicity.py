@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.bitmap import rows_that_may_match
 from ledgerloom.llm.common import mix, slices, table, text_bytes
 from ledgerloom.session import stored
 
@@ -224,7 +225,10 @@ class ToxicityModel:
 
     def __init__(self, spark, docs: DataFrame, labels: DataFrame) -> None:
         known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        rows = docs.select("doc_id", "text").join(known, "doc_id").where(fold("doc_id") != 0)
+        # Labels cover a part of the documents, and one time in five a row is held out: the other texts are not shuffled.
+        known = known.where(fold("doc_id") != 0)
+        rows = rows_that_may_match(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", known, "doc_id")
+        rows = rows.join(known.hint("merge"), "doc_id")
         learn = stored(rows.withColumn("fold", fold("doc_id")), "labelled")
         counted = learn.where("fold < 4").select("text", "toxic")
         self.shared = spark.sparkContext.broadcast(load_model(model_rows(counted)))
