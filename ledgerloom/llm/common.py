@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import json
 import os
 import uuid
@@ -9,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, limit: str = "8m") -> None:
+    """Hand tasks Arrow batches of ``limit`` bytes at most, unless the session says otherwise.
+
+    Rows hold whole texts, and a batch lives in the executor and in its Python
+    worker at once; Spark's own bound of 64 MB would cost hundreds per core.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, limit)
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public vocabulary file; imported late, as it exists on workers too."""
     import public_tokenizers
@@ -56,6 +71,26 @@ def write_whole(fs: pafs.FileSystem, path: str, chunks: Iterator[bytes]) -> int:
     return size
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system; worker processes live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run):
+    """A function over batches that gives memory back at its end."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def slices(sizes: Sequence[int], budget: int) -> Iterator[tuple[int, int]]:
     """Cut rows into consecutive runs of at most ``budget`` bytes (one row at least)."""
     start, total = 0, 0
@@ -90,6 +125,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def byte_sizes(column: pa.Array) -> list[int]:
+    """UTF-8 bytes of each row, without a copy of the texts. NULL is empty."""
+    return pc.binary_length(column).fill_null(0).to_pylist()
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the concatenated ranges ``[start, start + length)``."""
     total = int(lengths.sum())

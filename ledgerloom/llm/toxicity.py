@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bitmap import rows_that_may_match
-from ledgerloom.llm.common import mix, slices, table, text_bytes
+from ledgerloom.llm.common import bounded_batches, byte_sizes, mix, slices, table, text_bytes, tidy
 from ledgerloom.session import stored
 
 ORDER, SHARED = 6, 3
@@ -85,8 +85,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
         texts = batch.column("text")
-        _, at = text_bytes(texts)
-        for a, b in slices(np.diff(at).tolist(), COUNT_BYTES):
+        for a, b in slices(byte_sizes(texts), COUNT_BYTES):
             data, own = text_bytes(texts.slice(a, b - a))
             key, lengths = strings(data, own)
             key = key * np.uint64(2) + np.repeat(toxic[a:b], lengths).astype(np.uint64)
@@ -105,7 +104,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def model_rows(learn: DataFrame) -> DataFrame:
     """(slot, kind, ratio, weight): log ratios of strings (kind 0) and of contexts with an unseen next byte (kind 1)."""
     grams = stored(
-        learn.mapInArrow(_count, "gram long, toxic long, plain long")
+        learn.mapInArrow(tidy(_count), "gram long, toxic long, plain long")
         .groupBy("gram")
         .agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")),
         "grams",
@@ -182,9 +181,8 @@ def _features_of(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_scored")
-            _, at = text_bytes(texts)
             found = [np.zeros((0, 3))]
-            for a, b in slices(np.diff(at).tolist(), SCORE_BYTES):
+            for a, b in slices(byte_sizes(texts), SCORE_BYTES):
                 data, own = text_bytes(texts.slice(a, b - a))
                 found.append(features(shared.value, data, own))
             columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_scored"]
@@ -224,6 +222,7 @@ class ToxicityModel:
     """Fitted on ``documents`` and ``labels``; :meth:`score` adds score and predicted to any documents."""
 
     def __init__(self, spark, docs: DataFrame, labels: DataFrame) -> None:
+        bounded_batches(spark)
         known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         # Labels cover a part of the documents, and one time in five a row is held out: the other texts are not shuffled.
         known = known.where(fold("doc_id") != 0)
@@ -246,7 +245,7 @@ class ToxicityModel:
         """The columns ``keep`` of every document, its score and predicted."""
         rows = docs.select(*keep)
         kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-        found = docs.select(*keep, F.col("text").alias("_scored")).mapInArrow(_features_of(self.shared), f"{kinds}, {FEATURES}")
+        found = docs.select(*keep, F.col("text").alias("_scored")).mapInArrow(tidy(_features_of(self.shared)), f"{kinds}, {FEATURES}")
         at = F.lit(self.weights[0])
         for i, w in enumerate(self.weights[1:]):
             at = at + F.lit(w) * F.col(f"_f{i}")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ragged, table
+from ledgerloom.llm.common import bounded_batches, ragged, table
 from ledgerloom.llm.components import components, spanning
 from ledgerloom.llm.vectors import dots, matrix, usable, vectors
 from ledgerloom.session import stored
@@ -186,6 +186,7 @@ def _links(threshold: float):
 def near_duplicates(df: DataFrame, threshold: float = 0.9, tile_rows: int = TILE_ROWS) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row."""
     rows = vectors(df).where("vec_id IS NOT NULL").withColumn("vector", F.when(usable("vector"), F.col("vector")))
+    bounded_batches(df.sparkSession)
     # -0.0 and 0.0 are one number.
     rows = rows.withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0)))
     classes = stored(

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import filesystem, table, write_whole
+from ledgerloom.llm.common import bounded_batches, filesystem, table, write_whole
 from ledgerloom.session import shared_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
@@ -150,6 +150,7 @@ def find_repeats(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     The largest page_id of each digest is found by an aggregate that combines
     before the shuffle; the join back is one whose large keys Spark splits.
     """
+    bounded_batches(pages.sparkSession)
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload")).withColumn(
         "_sha", F.sha1("payload")
@@ -202,7 +203,7 @@ def read_warc(files: DataFrame, folder: str, split_bytes: int = 8 << 20, payload
     """All records of the files (path, size), read in ranges of ``split_bytes``."""
     splits = files.select(
         "path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))).alias("start")
-    ).repartition(F.col("path"), F.col("start"))
+    ).repartition(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "start")
     schema = RECORDS if payloads else RECORDS.removesuffix(", payload binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
