@@ -41,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.bitmap import bitmap, may_hold
-from ledgerloom.llm.common import ragged, slices, table, text_bytes
+from ledgerloom.llm.bitmap import bitmap, may_hold, rows_that_may_match
+from ledgerloom.llm.common import bounded_batches, byte_sizes, mix, ragged, slices, table, text_bytes, tidy
 from ledgerloom.llm.components import Forest, components
 from ledgerloom.llm.exchange import Outbox, by_bucket, received
 from ledgerloom.llm.shingles import fingerprint, overlap, shingle_sets
@@ -51,17 +51,19 @@ from ledgerloom.session import stored
 CROWD = 64
 LEAF_ROWS, LEAF_BYTES = 256, 2 << 20
 BOX = 128
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
+#: Shingles a task looks at together to see which repeat; a shingle seen to repeat this often is frequent.
+COUNTED, OFTEN = 2 << 20, 4
 BUCKET_ROWS = 1 << 20
 ROW_KINDS = ["<u4", "<i8", "u1"]
 SIZE_STEP = 1.02
+PAIRS_AT_ONCE = 1 << 20
 
 
 def sets_of(batch: pa.RecordBatch, column: str = "text", budget: int = BATCH_BYTES) -> Iterator[tuple[int, list[np.ndarray]]]:
     """First row and shingle sets of consecutive parts of a batch."""
     texts = batch.column(column)
-    _, at = text_bytes(texts)
-    for a, b in slices(np.diff(at).tolist(), budget):
+    for a, b in slices(byte_sizes(texts), budget):
         yield a, shingle_sets(*text_bytes(texts.slice(a, b - a)))
 
 
@@ -103,24 +105,71 @@ class Threshold:
         return shared * self.bottom >= self.top * (total - shared)
 
 
-def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of kind 0: doc_id, size and fingerprint; of kind 1: shingles that repeat within a batch, with their count."""
-    for batch in batches:
-        doc_ids = batch.column("doc_id")
-        for a, sets in sets_of(batch, budget=2 * BATCH_BYTES):
-            prints = np.array([fingerprint(s) for s in sets], np.int64).reshape(-1, 2)
-            n = np.array([len(s) for s in sets], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(sets), np.int32)), doc_ids.slice(a, len(sets)), pa.array(n), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy())],
-                names=["kind", "doc_id", "n", "p", "q"],
-            )
-            found, times = np.unique(np.concatenate(sets), return_counts=True)
+PAIR_KINDS = ["<i8", "<i8"]
+COUNT_KINDS = ["<i8", "<u4"]
+_BLOBS = ("bucket", "c0", "c1")
+
+
+def _survey(n_buckets: int):
+    """Rows of doc_id, size and fingerprint; in others (bucket is not NULL) shingles that repeat within a task, with their count."""
+
+    def sent(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in rows:
+            none = [pa.nulls(r.num_rows, pa.int64())] * 4
+            yield pa.RecordBatch.from_arrays([*none, *r.columns], names=["doc_id", "n", "p", "q", *_BLOBS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outbox = Outbox(n_buckets, COUNT_KINDS)
+        held: dict = {}
+        count = 0
+
+        def repeated() -> Iterator[pa.RecordBatch]:
+            found, times = np.unique(np.concatenate(list(held.values())), return_counts=True)
             found, times = found[times > 1], times[times > 1]
-            ones = np.ones(len(found), np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ones), pa.nulls(len(found), pa.int64()), pa.array(times), pa.array(found.view(np.int64)), pa.nulls(len(found), pa.int64())],
-                names=["kind", "doc_id", "n", "p", "q"],
-            )
+            held.clear()
+            yield from sent(outbox.put((found >> np.uint64(32)).astype(np.int64) % n_buckets, found.view(np.int64), times))
+
+        for batch in batches:
+            doc_ids = batch.column("doc_id")
+            for a, sets in sets_of(batch):
+                names = [fingerprint(s) for s in sets]
+                prints = np.array(names, np.int64).reshape(-1, 2)
+                k = len(sets)
+                none = [pa.nulls(k, t) for t in (pa.int32(), pa.binary(), pa.binary())]
+                yield pa.RecordBatch.from_arrays(
+                    [doc_ids.slice(a, k), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints[:, 0].copy()), pa.array(prints[:, 1].copy()), *none],
+                    names=["doc_id", "n", "p", "q", *_BLOBS],
+                )
+                # Equal sets are one class and count once.
+                held.update(zip(names, sets, strict=True))
+                count += sum(map(len, sets))
+                if count > COUNTED:
+                    yield from repeated()
+                    count = 0
+        if held:
+            yield from repeated()
+        yield from sent(outbox.flush())
+
+    return run
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that tasks saw repeat OFTEN times in all."""
+    keys, times = received(batches, COUNT_KINDS)
+    if len(keys):
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        total = np.add.reduceat(times[order].astype(np.int64), starts)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[starts][total >= OFTEN])], names=["p"])
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of a bucket."""
+    pairs = np.stack(received(batches, PAIR_KINDS), axis=1)
+    if len(pairs):
+        pairs = np.unique(pairs, axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
 
 def _send(rule: Threshold, frequent, n_buckets: int):
@@ -176,15 +225,21 @@ def _send(rule: Threshold, frequent, n_buckets: int):
     return run
 
 
-def _meet(rule: Threshold):
-    """Pairs of classes that share a prefix shingle (crowd is NULL), or members of a crowd (b is NULL)."""
+def _meet(rule: Threshold, n_buckets: int):
+    """Pairs of classes that share a prefix shingle, by bucket of the pair, and members of crowds (bucket is NULL)."""
     apart = int(np.ceil(np.log(1 / rule.value) / np.log(SIZE_STEP) / 4)) + 1
 
+    def sent(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in rows:
+            none = [pa.nulls(r.num_rows, pa.int64())] * 2
+            yield pa.RecordBatch.from_arrays([*r.columns, *none], names=[*_BLOBS, "a", "crowd"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = next(batches, None)
         if first is None or not first.num_rows:
             return
         bucket = first.column("bucket")[0].as_py()
+        outbox = Outbox(n_buckets, PAIR_KINDS)
 
         def every() -> Iterator[pa.RecordBatch]:
             yield first
@@ -201,24 +256,28 @@ def _meet(rule: Threshold):
         large = np.repeat(count > CROWD, count)
         if large.any():
             crowd = (keys[large].astype(np.int64) << 24) ^ np.int64(bucket)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[large]), pa.nulls(int(large.sum()), pa.int64()), pa.array(crowd)], names=["a", "b", "crowd"]
-            )
+            none = [pa.nulls(int(large.sum()), t) for t in (pa.int32(), pa.binary(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array(ids[large]), pa.array(crowd)], names=[*_BLOBS, "a", "crowd"])
         last = np.repeat(starts + count, count)
         after = np.where(large, 0, last - np.arange(len(keys)) - 1)
-        steps = np.searchsorted(np.cumsum(after), np.arange(0, after.sum() + (1 << 21), 1 << 21))
+        steps = np.searchsorted(np.cumsum(after), np.arange(0, after.sum() + PAIRS_AT_ONCE, PAIRS_AT_ONCE))
         found = np.zeros((0, 2), np.int64)
+
+        def give(pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
+            to = (mix(pairs[:, 0].view(np.uint64)) >> np.uint64(33)).astype(np.int64) % n_buckets
+            yield from sent(outbox.put(to, pairs[:, 0], pairs[:, 1]))
+
         for a, b in zip(steps[:-1], np.append(steps[1:-1], len(after)), strict=True):
             i = np.repeat(np.arange(a, b), after[a:b])
             j = ragged(np.arange(a, b) + 1, after[a:b])
             near = np.abs(sizes[i] - sizes[j]) <= apart
             pairs = np.stack([ids[i[near]], ids[j[near]]], axis=1)
             found = np.unique(np.concatenate([found, pairs]), axis=0) if len(pairs) else found
-            if len(found) > 1 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy()), pa.nulls(len(found), pa.int64())], names=["a", "b", "crowd"])
+            if len(found) > PAIRS_AT_ONCE:
+                yield from give(np.ascontiguousarray(found))
                 found = found[:0]
-        if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy()), pa.nulls(len(found), pa.int64())], names=["a", "b", "crowd"])
+        yield from give(np.ascontiguousarray(found))
+        yield from sent(outbox.flush())
 
     return run
 
@@ -357,71 +416,65 @@ def _with_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def class_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """p, q, rep and the text of each of ``classes``: only rows a fixed-size bitmap lets through are shuffled."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(classes, "rep"))
-
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(may_hold(bits.value, batch.column("doc_id").to_numpy())))
-
-    few = docs.mapInArrow(passing, "doc_id long, text string")
+    few = rows_that_may_match(docs, "doc_id", classes, "rep")
     rows = few.join(classes, few["doc_id"] == classes["rep"]).select("p", "q", "rep", "n", "text")
-    return rows.mapInArrow(_with_prints, "p long, q long, rep long, n long, text string")
+    return rows.mapInArrow(tidy(_with_prints), "p long, q long, rep long, n long, text string")
 
 
 def similar_texts(docs: DataFrame, similarity: Fraction = Fraction(3, 4)) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark, rule = docs.sparkSession, Threshold(Fraction(similarity))
+    bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    survey = stored(docs.mapInArrow(_survey, "kind int, doc_id long, n long, p long, q long"), "survey")
-    sizes = survey.where("kind = 0")
+    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    survey = stored(docs.mapInArrow(tidy(_survey(n_tasks)), "doc_id long, n long, p long, q long, bucket int, c0 binary, c1 binary"), "survey")
+    sizes = survey.where("bucket IS NULL").select("doc_id", "n", "p", "q")
     named = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
     grouped = sizes.where("doc_id IS NOT NULL AND n > 0").groupBy("p", "q")
     classes = stored(grouped.agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "classes")
-    total = classes.agg(F.count("*").alias("classes"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-    often = max(16, total["classes"] // 10_000)
-    repeated = survey.where("kind = 1").groupBy("p").agg(F.sum("n").alias("n")).where(F.col("n") >= often)
+    repeated = by_bucket(survey.where("bucket IS NOT NULL").select(*_BLOBS), n_tasks).mapInArrow(tidy(_often), "p long")
     frequent = spark.sparkContext.broadcast(bitmap(repeated, "p"))
-    prefix_rows = total["n"] * (1 - rule.value)
-    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(prefix_rows // BUCKET_ROWS) + 1)
+    n_buckets = max(n_tasks, int(total * (1 - rule.value) // BUCKET_ROWS) + 1)
     sent = stored(
         named.mapInArrow(
-            _send(rule, frequent, n_buckets), "bucket int, c0 binary, c1 binary, c2 binary, p long, q long, n long, point binary"
+            tidy(_send(rule, frequent, n_buckets)), "bucket int, c0 binary, c1 binary, c2 binary, p long, q long, n long, point binary"
         ),
         "prefixes",
     )
     met = by_bucket(sent.where("bucket IS NOT NULL").select("bucket", "c0", "c1", "c2"), n_buckets)
-    met = stored(met.mapInArrow(_meet(rule), "a long, b long, crowd long"), "meetings")
+    met = stored(met.mapInArrow(tidy(_meet(rule, n_buckets)), "bucket int, c0 binary, c1 binary, a long, crowd long"), "meetings")
 
-    pairs = met.where("b IS NOT NULL").select("a", "b").distinct()
+    pairs = by_bucket(met.where("bucket IS NOT NULL").select(*_BLOBS), n_buckets).mapInArrow(tidy(_once), "a long, b long")
     points = sent.where("bucket IS NULL").select("p", "q", "n", "point").dropDuplicates(["p", "q"])
     near = pairs.join(points.select(*[F.col(c).alias(x) for c, x in (("p", "a"), ("q", "aq"), ("n", "an"), ("point", "ap"))]), "a")
     near = near.join(points.select(*[F.col(c).alias(x) for c, x in (("p", "b"), ("q", "bq"), ("n", "bn"), ("point", "bp"))]), "b")
-    near = stored(near.mapInArrow(_bounded(rule), "a long, aq long, b long, bq long"), "near")
+    near = stored(near.mapInArrow(tidy(_bounded(rule)), "a long, aq long, b long, bq long"), "near")
     asked = near.select("a", "aq").union(near.select("b", "bq")).toDF("p", "q").distinct()
     texts = stored(class_texts(named, classes.join(asked, ["p", "q"])), "texts")
     left = texts.select(F.col("p").alias("a"), F.col("q").alias("aq"), F.col("rep").alias("arep"), F.col("text").alias("atext"))
     right = texts.select(F.col("p").alias("b"), F.col("q").alias("bq"), F.col("rep").alias("brep"), F.col("text").alias("btext"))
     both = near.join(left, ["a", "aq"]).join(right, ["b", "bq"])
     both = both.select(F.col("arep").alias("a"), F.col("brep").alias("b"), "atext", "btext")
-    links = both.mapInArrow(_verified(rule), "a long, b long")
+    links = both.mapInArrow(tidy(_verified(rule)), "a long, b long")
 
-    crowds = met.where("b IS NULL").select("a", "crowd").distinct()
+    crowds = met.where("bucket IS NULL").select("a", "crowd").distinct()
     families = components(crowds.select("a", F.col("crowd").alias("b"))).select(F.col("node").alias("p"), F.col("component").alias("family"))
     members = classes.join(families, "p")
     crowd_texts = class_texts(named, members.select("p", "q", "rep", "n")).join(families, "p")
     packed = crowd_texts.select("family", "rep", "text", "n").repartitionByRange("family", "n", "rep")
-    leaves = stored(packed.sortWithinPartitions("family", "n", "rep").mapInArrow(_leaves, LEAF_SQL), "leaves")
+    leaves = stored(packed.sortWithinPartitions("family", "n", "rep").mapInArrow(tidy(_leaves), LEAF_SQL), "leaves")
     head = ("leaf", "small", "large", "box")
     a = leaves.select("family", *[F.col(c).alias(f"a{c}") for c in head])
     b = leaves.select("family", *[F.col(c).alias(f"b{c}") for c in head])
     fits = (F.col("asmall") <= F.col("blarge") / rule.value) & (F.col("bsmall") <= F.col("alarge") / rule.value)
     leaf_pairs = a.join(b, "family").where((F.col("aleaf") <= F.col("bleaf")) & fits)
-    leaf_pairs = leaf_pairs.mapInArrow(_boxes_meet(rule), "aleaf long, bleaf long")
+    leaf_pairs = leaf_pairs.mapInArrow(tidy(_boxes_meet(rule)), "aleaf long, bleaf long")
     left = leaves.select(F.col("leaf").alias("aleaf"), F.col("docs").alias("adocs"), F.col("texts").alias("atexts"))
     right = leaves.select(F.col("leaf").alias("bleaf"), F.col("docs").alias("bdocs"), F.col("texts").alias("btexts"))
     tiles = leaf_pairs.join(left, "aleaf").join(right, "bleaf")
-    links = links.union(tiles.repartition(n_buckets, "aleaf", "bleaf").mapInArrow(_join_leaves(rule), "a long, b long"))
+    links = links.union(tiles.repartition(n_buckets, "aleaf", "bleaf").mapInArrow(tidy(_join_leaves(rule)), "a long, b long"))
 
     groups = components(links)
     by_class = classes.join(groups, classes["rep"] == groups["node"], "left").select(
