@@ -4,17 +4,18 @@ Vectors are dealt evenly into blocks. A block keeps its vectors as doubles, as
 int8 codes with one scale per vector, and the largest rounding error of each.
 A tile is one block of queries against one block of candidates: the product of
 the codes is exact, and scale and errors bound how far the true inner product
-can be from it. A pair whose upper bound is below the query's 20th best lower
-bound cannot matter; the others are computed again in doubles. Each tile keeps
-its best by a heap per query, and the tiles' lists are merged by Spark, which
-limits every query to k before the shuffle as well.
+can be from it. A pair whose upper bound is below the query's k-th best so far
+cannot matter; the others are computed again in doubles. A task goes through
+one block of queries and one of ``GROUPS`` groups of candidate blocks, and
+merges each tile into a heap per query. So a query leaves as many short lists
+as there are groups, however many rows there are; Spark merges those.
 
 With q = sq*cq + eq and x = sx*cx + ex:
 |q.x - sq*sx*(cq.cx)| <= |eq|*|x| + |q|*|ex| + |eq|*|ex|.
 
-Tiles are found by an equi-join of (query block, candidate block), so every
-tile is a task's row of its own and no block is a hot key. The work is the
-stated query set against all rows; neither side is broadcast.
+Tiles are found by an equi-join on (query block, candidate group), whose keys
+are equally large, so no key is hot. The work is the stated query set against
+all rows; neither side is broadcast.
 
 Cases: vectors that are NULL, empty, zero or hold NULL or non-finite
 components take no part. Fewer than k candidates: all are returned. Ties go to
@@ -34,11 +35,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table
+from ledgerloom.llm.common import bounded_batches, table
 from ledgerloom.llm.vectors import dots, matrix, usable, vectors
 from ledgerloom.session import stored
 
 BLOCK_ROWS = 2048
+GROUPS = 8
 BLOCK = "block int, n int, ids binary, rows binary, codes binary, scales binary, errors binary"
 #: Covers the rounding of the double arithmetic in the bounds themselves.
 SLACK = 1e-9
@@ -89,60 +91,78 @@ class Block:
         self.lengths = np.linalg.norm(self.rows, axis=1)
 
 
-def tile(queries: Block, candidates: Block, k: int) -> Iterator[tuple[int, int, float]]:
-    """(query, candidate, score) of the best k of this tile for every query."""
-    # Products of int8 codes are whole numbers below 2**24 up to 1,040 dimensions, so single precision holds them exactly.
-    kind = np.float32 if queries.codes.shape[1] <= 1040 else np.float64
-    product = queries.codes.astype(kind) @ candidates.codes.astype(kind).T
-    about = product * queries.scales[:, None] * candidates.scales
-    margin = (
-        queries.errors[:, None] * candidates.lengths
-        + queries.lengths[:, None] * candidates.errors
-        + queries.errors[:, None] * candidates.errors
-    ) * (1 + SLACK) + SLACK * queries.lengths[:, None] * candidates.lengths
-    own = queries.ids[:, None] == candidates.ids
-    low = np.where(own, -np.inf, about - margin)
-    if low.shape[1] > k:
-        kth = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
-    else:
-        kth = np.full(len(low), -np.inf)
-    q, c = np.nonzero((about + margin >= kth[:, None]) & ~own)
-    score = dots(queries.rows[q], candidates.rows[c])
-    cuts = np.searchsorted(q, np.arange(len(queries.ids) + 1))
-    for i, query in enumerate(queries.ids.tolist()):
-        a, b = cuts[i], cuts[i + 1]
-        best = heapq.nsmallest(k, zip((-score[a:b]).tolist(), candidates.ids[c[a:b]].tolist(), strict=True))
-        for negative, vec_id in best:
-            yield query, vec_id, -negative
+class Best:
+    """The k best hits of each query of a block so far, as heaps whose top is the worst of them."""
+
+    def __init__(self, queries: Block, k: int) -> None:
+        self.queries, self.k = queries, k
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in queries.ids]
+        self.least = np.full(len(queries.ids), -np.inf)
+
+    def add(self, candidates: Block) -> None:
+        """Merge one tile."""
+        q, k = self.queries, self.k
+        # Products of int8 codes are whole numbers below 2**24 up to 1,040 dimensions, so single precision holds them exactly.
+        kind = np.float32 if q.codes.shape[1] <= 1040 else np.float64
+        product = q.codes.astype(kind) @ candidates.codes.astype(kind).T
+        about = product * q.scales[:, None] * candidates.scales
+        margin = (
+            q.errors[:, None] * candidates.lengths + q.lengths[:, None] * candidates.errors + q.errors[:, None] * candidates.errors
+        ) * (1 + SLACK) + SLACK * q.lengths[:, None] * candidates.lengths
+        own = q.ids[:, None] == candidates.ids
+        low = np.where(own, -np.inf, about - margin)
+        bound = self.least
+        if low.shape[1] > k:
+            bound = np.maximum(bound, np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k])
+        i, j = np.nonzero((about + margin >= bound[:, None]) & ~own)
+        score = dots(q.rows[i], candidates.rows[j])
+        kept = score >= self.least[i]
+        i, j, score = i[kept], j[kept], score[kept]
+        for at, hit in zip(i.tolist(), zip(score.tolist(), (-candidates.ids[j]).tolist(), strict=True), strict=True):
+            heap = self.heaps[at]
+            if len(heap) < k:
+                heapq.heappush(heap, hit)
+            elif hit > heap[0]:
+                heapq.heapreplace(heap, hit)
+        for at in np.unique(i).tolist():
+            if len(self.heaps[at]) == k:
+                self.least[at] = self.heaps[at][0][0]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        hits = [(query, -minus, score) for query, heap in zip(self.queries.ids.tolist(), self.heaps, strict=True) for score, minus in heap]
+        if hits:
+            query, vec_id, score = zip(*hits, strict=True)
+            yield pa.RecordBatch.from_pydict(
+                {"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(vec_id, pa.int64()), "score": pa.array(score, pa.float64())}
+            )
 
 
 def nearest(df: DataFrame, is_query: Column, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest rows of every query row."""
     rows = vectors(df).where(F.col("vec_id").isNotNull() & usable("vector")).dropDuplicates(["vec_id", "vector"])
+    bounded_batches(df.sparkSession)
     every = blocks(rows, block_rows)
     asked = blocks(rows.where(is_query), block_rows)
     names = [f.split()[0] for f in BLOCK.split(", ")]
-    n_every = every.agg(F.max("block")).first()[0]
-    n_asked = asked.agg(F.max("block")).first()[0]
-
-    def spread(side: DataFrame, prefix: str, other: int | None) -> DataFrame:
-        numbers = F.sequence(F.lit(0), F.lit(other)) if other is not None else F.array().cast("array<int>")
-        return side.select(*[F.col(n).alias(f"{prefix}_{n}") for n in names], F.explode(numbers).alias("_other"))
-
-    left, right = spread(asked, "q", n_every), spread(every, "c", n_asked)
-    # One row per pair of blocks on either side: the join key is unique, its partitions are as even as the tiles.
-    tiles = left.join(right, (left["q_block"] == right["_other"]) & (right["c_block"] == left["_other"])).drop("_other")
+    n_asked = asked.agg(F.coalesce(F.max("block"), F.lit(-1))).first()[0] + 1
+    numbers = lambda n: F.sequence(F.lit(0), F.lit(n - 1)) if n else F.array().cast("array<int>")
+    left = asked.select(*[F.col(n).alias(f"q_{n}") for n in names], F.explode(numbers(GROUPS)).alias("_group"))
+    right = every.select(*[F.col(n).alias(f"c_{n}") for n in names], F.explode(numbers(n_asked)).alias("_for"))
+    tiles = left.join(right, (F.col("q_block") == F.col("_for")) & (F.col("_group") == F.col("c_block") % GROUPS)).drop("_for")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, best = None, None
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
-                hits = list(tile(Block(row, "q"), Block(row, "c"), k))
-                if hits:
-                    query, vec_id, score = zip(*hits, strict=True)
-                    yield pa.RecordBatch.from_pydict(
-                        {"query_id": pa.array(query, pa.int64()), "vec_id": pa.array(vec_id, pa.int64()), "score": pa.array(score, pa.float64())}
-                    )
+                row = {n: batch.column(n)[i] for n in batch.schema.names}
+                own = (row["q_block"].as_py(), row["_group"].as_py())
+                if own != key:
+                    if best:
+                        yield from best.rows()
+                    key, best = own, Best(Block({n: v.as_py() for n, v in row.items() if n[:2] == "q_"}, "q"), k)
+                best.add(Block({n: v.as_py() for n, v in row.items() if n[:2] == "c_"}, "c"))
+        if best:
+            yield from best.rows()
 
     found = tiles.mapInArrow(run, "query_id long, vec_id long, score double")
     nearest_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
