@@ -28,21 +28,21 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import one_thread, ragged, slices, table, tokenizer_path
+from ledgerloom.llm.common import bounded_batches, one_thread, ragged, slices, table, tidy, tokenizer_path
 from ledgerloom.llm.suffix_blocks import refine, word_view
+from ledgerloom.llm.unit_cache import UnitCache
 
 MARK = "▁"
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*")
-BATCH_BYTES = 4 << 20
-#: Distinct units and pairs that a worker keeps; beyond it starts again.
-MAX_UNITS, MAX_PAIRS = 1_200_000, 3_000_000
+BATCH_BYTES = 2 << 20
+#: Distinct units and pairs that a worker keeps; beyond it pairs start again.
+KEPT_UNITS, MAX_PAIRS = 300_000, 400_000
 SEPARATOR = b"\xff"
 
 
@@ -113,15 +113,9 @@ class PieceEncoder:
         self.longest = int(self.piece_lengths.max())
         words = np.array([[int.from_bytes(p[k : k + 8].ljust(8, fill), "big") for k in range(0, self.longest, 8)] for fill in (b"\0", b"\xff") for p, _ in own], np.uint64)
         self.low, self.high = words[: len(own)], words[len(own) :]
-        self._clear()
+        self.units = UnitCache(self._fresh_ids, KEPT_UNITS)
         self.fits: dict[int, bool] = {}
 
-    def _clear(self) -> None:
-        self.units: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.used = 0
-
     def _edges(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and id of every occurrence of a piece."""
         words = word_view(data)
@@ -219,7 +213,7 @@ class PieceEncoder:
     def all_known(self, unit: str) -> bool:
         return all(map(self.vocabulary.pieces.__contains__, unit))
 
-    def _learn(self, fresh: list[str]) -> None:
+    def _fresh_ids(self, fresh: list[str]) -> list[list[int]]:
         v = self.vocabulary
         units = [u if u[:1] == MARK else MARK + u for u in fresh]
         runs = [i for i, u in enumerate(units) if u[1:2] == MARK or len(u) == 1]
@@ -230,22 +224,10 @@ class PieceEncoder:
         rest = [i for i in range(len(units)) if i not in special]
         for i, ids in zip(rest, self._relax([units[i] for i in rest]) if rest else [], strict=True):
             found[i] = ids
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-        n = len(self.units)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(fresh) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.starts[n + 1 : n + 1 + len(fresh)] = self.used + np.cumsum(lengths)
-        self.used += len(flat)
-        self.units.update(zip(fresh, range(n, n + len(fresh)), strict=True))
+        return found
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the n + 1 places where texts start."""
-        if len(self.units) > MAX_UNITS:
-            self._clear()
         parts: list[str] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
@@ -255,13 +237,8 @@ class PieceEncoder:
                     own = _UNIT.findall(MARK + text.replace(" ", MARK))
                 parts += own
             ends[i + 1] = len(parts)
-        at = np.fromiter(map(self.units.get, parts, repeat(-1)), np.int64, len(parts))
-        unseen = np.flatnonzero(at < 0).tolist()
-        if unseen:
-            self._learn(list(dict.fromkeys([parts[i] for i in unseen])))
-            at[unseen] = [self.units[parts[i]] for i in unseen]
-        lengths = self.starts[at + 1] - self.starts[at]
-        return self.ids[ragged(self.starts[at], lengths)], np.concatenate([[0], np.cumsum(lengths)])[ends]
+        ids, lengths = self.units.numbers(parts)
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[ends]
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> list[str]:
         """Texts of rows of ids."""
@@ -286,8 +263,12 @@ def worker_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def encode_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, n_bytes and ids (little-endian 32-bit) of whole texts."""
+def encode_pieces(docs: DataFrame, vocabulary: str, decode: bool = False) -> DataFrame:
+    """doc_id, n_bytes and ids (little-endian 32-bit) of whole texts.
+
+    With ``decode`` the text that the ids decode to follows, from the same task:
+    a pass of its own would keep a second worker with its cache per core.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_encoder(tokenizer_path(vocabulary))
@@ -296,17 +277,18 @@ def encode_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
             for a, b in slices([len(t) for t in texts], BATCH_BYTES):
                 ids, at = codec.encode(texts[a:b])
                 cuts = (at * 4).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(a, b - a),
-                        batch.column("n_bytes").slice(a, b - a),
-                        pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(cuts), pa.py_buffer(ids.astype("<i4"))]),
-                    ],
-                    names=["doc_id", "n_bytes", "ids"],
-                )
-
+                columns = [
+                    batch.column("doc_id").slice(a, b - a),
+                    batch.column("n_bytes").slice(a, b - a),
+                    pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(cuts), pa.py_buffer(ids.astype("<i4"))]),
+                ]
+                if decode:
+                    columns.append(pa.array(codec.decode(ids, at), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "ids", "text"][: len(columns)])
+
+    bounded_batches(docs.sparkSession)
     sized = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    return sized.mapInArrow(run, "doc_id long, n_bytes long, ids binary")
+    return sized.mapInArrow(tidy(run), "doc_id long, n_bytes long, ids binary" + ", text string" * decode)
 
 
 def decode_pieces(rows: DataFrame, vocabulary: str) -> DataFrame:
@@ -328,8 +310,7 @@ def decode_pieces(rows: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def op6_sentence_pieces(spark, sf_dir: str) -> DataFrame:
-    encoded = encode_pieces(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
-    return decode_pieces(encoded, "piece_bpe_32k.model").select(
+    return encode_pieces(table(spark, sf_dir, "documents"), "piece_bpe_32k.model", decode=True).select(
         "doc_id",
         "n_bytes",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

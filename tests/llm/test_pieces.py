@@ -66,4 +66,6 @@ def test_table(spark, library):
         text = "a b" if r.doc_id is None else HARD[r.doc_id] or ""
         assert np.frombuffer(r.ids, "<i4").tolist() == library.encode(text) and r.n_bytes == len(text.encode())
         assert r.text == library.decode(library.encode(text))
+    both = {(r.doc_id, r.ids, r.text) for r in encode_pieces(docs, PATH, decode=True).collect()}
+    assert both == {(r.doc_id, r.ids, r.text) for r in rows}
     assert encode_pieces(docs.limit(0), PATH).count() == 0
