@@ -32,7 +32,7 @@ def library(name: str) -> Tokenizer:
 
 
 def test_cached_ids_equal_the_library():
-    plain, encoder = library("byte_bpe_50k.json"), IdEncoder("byte_bpe_50k.json", max_words=50)
+    plain, encoder = library("byte_bpe_50k.json"), IdEncoder("byte_bpe_50k.json", limit=50)
     for _ in range(2):
         texts = [t or "" for _, t in DOCS]
         ids, at = encoder.encode(texts)
@@ -143,3 +143,10 @@ def test_lengths_outside_the_capacity_get_no_place(spark):
     assert best_fit(frame.limit(0), 8).count() == 0
     with pytest.raises(ValueError, match="reserved"):
         best_fit(frame.withColumnRenamed("id", "offset"), 8)
+
+
+def test_counts_by_parts_equal_the_library():
+    plain, counter = library("word_bpe_49k.json"), ChunkedCounter("word_bpe_49k.json")
+    texts = [t or "" for _, t in DOCS] + ["a ́b", "Å ᄀ ᅡ", "don't  DON'T x", "<|endof text|> <|endoftext|>x"]
+    for _ in range(2):
+        assert counter.counts(texts).tolist() == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
