@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.byte_ids import IdEncoder
-from ledgerloom.llm.common import filesystem, packed, slices, table, write_whole
+from ledgerloom.llm.byte_ids import encoder
+from ledgerloom.llm.common import bounded_batches, filesystem, packed, slices, table, tidy, write_whole
 from ledgerloom.session import shared_folder, stored
 
 MAGIC = b"LLBITS01"
@@ -146,17 +146,16 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = IdEncoder(vocabulary)
+        codec = encoder(vocabulary)
         fs, base = filesystem(folder)
         part = TaskContext.get().partitionId()
         seen: dict = {}
 
         def encoded() -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
             for batch in batches:
-                names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-                sizes = [len(t) if t else 0 for t in texts.to_pylist()]
-                for a, b in slices(sizes, ENCODE_BYTES):
-                    ids, at = encoder.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
+                names, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
+                for a, b in slices(list(map(len, texts)), ENCODE_BYTES):
+                    ids, at = codec.encode(texts[a:b])
                     yield names[a:b], np.insert(ids, at[1:], end_id).astype(np.uint32), at + np.arange(len(at))
 
         rows = encoded()
@@ -170,13 +169,15 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0) ->
             yield first
             yield from rows
 
-        write_whole(fs, path, file_chunks(again(), bits_for(encoder.n_ids), seen))
+        write_whole(fs, path, file_chunks(again(), bits_for(codec.n_ids), seen))
+        codec.forget()
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array([part], pa.int32()), "path": [path], "n_docs": [seen["n_docs"]], "n_ids": [seen["n_ids"]]}
         )
 
+    bounded_batches(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
-    written = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(run, MANIFEST)
+    written = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(tidy(run), MANIFEST)
     return stored(written, "manifest")
 
 
@@ -186,7 +187,7 @@ def read_ids(manifest: DataFrame, folder: str, docs_per_task: int = 20_000, with
         manifest.withColumn("before", F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(docs_per_task).cast("long"))))
         .select("path", F.coalesce("before", F.lit(0)).alias("before"), "first", F.least(F.col("first") + docs_per_task, "n_docs").alias("last"))
-        .repartition(F.col("path"), F.col("first"))
+        .repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path", "first")
     )
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
 

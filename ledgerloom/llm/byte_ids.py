@@ -1,22 +1,23 @@
 """Token ids by the ``tokenizers`` library, each distinct word encoded once.
 
 A byte-level BPE with the usual word pattern never joins a character that is
-not white space with a space that follows it, and its pattern looks only
-ahead. So a text may be cut before every such space and its parts encoded on
-their own. Parts repeat a lot; a bounded cache keeps their ids.
+not white space with a space or line break that follows it, and its pattern
+looks only ahead. So a text may be cut before every such one and its parts
+encoded on their own. Parts repeat a lot; a bounded cache keeps their ids.
 """
 
 from __future__ import annotations
 
 import re
-from itertools import chain, repeat
+from functools import lru_cache
 
 import numpy as np
 
-from ledgerloom.llm.common import one_thread, ragged, tokenizer_path
+from ledgerloom.llm.common import one_thread, tokenizer_path
+from ledgerloom.llm.unit_cache import UnitCache
 
-#: A space after other white space: plain splitting at spaces would cut a run of it.
-_RUN = re.compile(r"\s ")
+#: A space or line break after other white space: plain splitting would cut a run of it.
+_RUN = re.compile(r"\s[ \n]")
 #: After letters and before a space these are words of the pattern by themselves.
 _MARKS = ",."
 #: How a byte-level vocabulary shows each byte: printable ones as they are, the rest from 256 on, in order.
@@ -28,71 +29,64 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 
 
 class IdEncoder:
-    """Encodes batches of texts; ``max_words`` and ``max_chars`` bound the cache."""
+    """Encodes batches of texts; ``limit`` bounds the words that are kept."""
 
-    def __init__(self, name: str, max_words: int = 1_000_000, max_chars: int = 16 << 20) -> None:
+    def __init__(self, name: str, limit: int = 600_000) -> None:
         one_thread()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.n_ids = self.tokenizer.get_vocab_size()
         self.marks = {m: self.tokenizer.token_to_id(m) for m in _MARKS}
-        self.max_words, self.max_chars = max_words, max_chars
-        self._clear()
+        self.line = self.tokenizer.token_to_id(_SHOWN[10])
+        self.limit = limit
+        self.forget()
 
-    def _clear(self) -> None:
-        self.words: dict = {}
-        self.chars = 0
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.used = 0
+    def forget(self) -> None:
+        """Drop the words that are kept; a task does so at its end, since its worker lives on beside others."""
+        self.words = UnitCache(self._fresh_ids, self.limit)
 
     def _fresh_ids(self, fresh: list) -> list[list[int]]:
-        """Ids of unseen parts. A space and letters are one word of the pattern, so the model takes it as it is."""
+        """Ids of unseen parts.
+
+        Letters, with or without a space before them, are one word of the
+        pattern, so the model takes them as they are; a comma or full stop
+        after them, and a line break before them, are words by themselves.
+        """
+        simple: list[tuple] = []
+        other: list[int] = []
+        stems: dict[str, list[int]] = {}
+        for i, part in enumerate(fresh):
+            if part.__class__ is str and part:
+                last = part[-1]
+                stem = part[:-1] if last in _MARKS else part
+                line = stem[:1] == "\n"
+                letters = stem[1:] if line else stem
+                if letters.isalpha():
+                    if not letters.isascii():
+                        letters = "".join(map(_SHOWN.__getitem__, letters.encode()))
+                    key = letters if line else _SPACE + letters
+                    stems[key] = []
+                    simple.append((i, line, key, last))
+                    continue
+            other.append(i)
+        model = self.tokenizer.model.tokenize
+        for key in stems:
+            stems[key] = [t.id for t in model(key)]
         found: list = [None] * len(fresh)
-        other = []
-        model, known, bare = self.tokenizer.model.tokenize, self.words, {}
-        for i, w in enumerate(fresh):
-            if isinstance(w, tuple):
-                other.append(i)
-                continue
-            mark = w != "" and w[-1] in _MARKS
-            word = w[:-1] if mark else w
-            if not word.isalpha():
-                other.append(i)
-                continue
-            if word in known:
-                at = known[word]
-                ids = self.ids[self.starts[at] : self.starts[at + 1]].tolist()
-            elif word in bare:
-                ids = bare[word]
-            else:
-                ids = bare[word] = [t.id for t in model(_SPACE + "".join(map(_SHOWN.__getitem__, word.encode())))]
-            found[i] = [*ids, self.marks[w[-1]]] if mark else ids
-        texts = [fresh[i][0] if isinstance(fresh[i], tuple) else " " + fresh[i] for i in other]
+        marks, line_id = self.marks, self.line
+        for i, line, key, last in simple:
+            ids = stems[key]
+            if line:
+                ids = [line_id, *ids]
+            found[i] = [*ids, marks[last]] if last in marks else ids
+        texts = [p[0] if (p := fresh[i]).__class__ is tuple else p if p[:1] == "\n" else " " + p for i in other]
         for i, e in zip(other, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             found[i] = e.ids
         return found
 
-    def _learn(self, fresh: list) -> None:
-        found = self._fresh_ids(fresh)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
-        n = len(self.words)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(fresh) + 1 > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.ids[self.used : self.used + len(flat)] = flat
-        self.starts[n + 1 : n + 1 + len(fresh)] = self.used + np.cumsum(lengths)
-        self.used += len(flat)
-        self.words.update(zip(fresh, range(n, n + len(fresh)), strict=True))
-        self.chars += sum(len(w[0] if isinstance(w, tuple) else w) for w in fresh)
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and the n + 1 places where texts start."""
-        if len(self.words) > self.max_words or self.chars > self.max_chars:
-            self._clear()
         parts: list = []
         counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
@@ -101,16 +95,16 @@ class IdEncoder:
             if _RUN.search(text):
                 own = [(unit,) for unit in _CUT.split(text)]
             else:
-                own = text.split(" ")
+                own = text.replace("\n", " \n").split(" ")
                 own[0] = (own[0],)
             counts[i] = len(own)
             parts += own
-        at = np.fromiter(map(self.words.get, parts, repeat(-1)), np.int64, len(parts))
-        unseen = np.flatnonzero(at < 0).tolist()
-        if unseen:
-            self._learn(list(dict.fromkeys([parts[i] for i in unseen])))
-            at[unseen] = [self.words[parts[i]] for i in unseen]
-        first, lengths = self.starts[at], self.starts[at + 1] - self.starts[at]
-        ids = self.ids[ragged(first, lengths)]
+        ids, lengths = self.words.numbers(parts)
         ends = np.concatenate(([0], np.cumsum(lengths)))
-        return ids, ends[np.concatenate(([0], np.cumsum(counts)))]
+        return ids.view(np.uint32), ends[np.concatenate(([0], np.cumsum(counts)))]
+
+
+@lru_cache(maxsize=1)
+def encoder(name: str) -> IdEncoder:
+    """The encoder of this worker process; the vocabulary is loaded once."""
+    return IdEncoder(name)

@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from ledgerloom.llm.byte_ids import IdEncoder
-from ledgerloom.llm.common import slices, table
+from ledgerloom.llm.byte_ids import encoder
+from ledgerloom.llm.common import bounded_batches, slices, table, tidy
 from ledgerloom.session import stored
 
 ENCODE_BYTES = 2 << 20
@@ -111,6 +111,7 @@ def best_fit(rows: DataFrame, capacity: int, length: str = "length") -> DataFram
     if clash := {"_task", "_slot", "sequence_id", "offset"} & set(rows.columns):
         raise ValueError(f"columns {sorted(clash)} are reserved")
     spark = rows.sparkSession
+    bounded_batches(spark)
     at = rows.columns.index(length)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,11 +171,11 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = IdEncoder(vocabulary)
+        codec = encoder(vocabulary)
         for batch in batches:
-            names, texts = batch.column("doc_id"), batch.column("text")
-            for a, b in slices([len(t) if t else 0 for t in texts.to_pylist()], ENCODE_BYTES):
-                ids, at = encoder.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
+            names, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
+            for a, b in slices(list(map(len, texts)), ENCODE_BYTES):
+                ids, at = codec.encode(texts[a:b])
                 ids, at = np.insert(ids, at[1:], end_id).astype("<u4"), at + np.arange(len(at))
                 n = np.diff(at)
                 pieces = -(-n // capacity)
@@ -194,9 +195,11 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
                     ],
                     names=["doc_id", "piece", "start", "length", "ids"],
                 )
+        codec.forget()
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids binary"
+        tidy(run), "doc_id long, piece int, start long, length long, ids binary"
     )
 
 
