@@ -33,6 +33,7 @@ from ledgerloom.session import shared_folder, stored
 MAGIC = b"LLBITS01"
 BLOCK = 4096
 ENCODE_BYTES = 2 << 20
+KEPT_WORDS = 700_000
 MANIFEST = "part int, path string, n_docs long, n_ids long"
 
 
@@ -146,7 +147,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(vocabulary)
+        codec = encoder(vocabulary, KEPT_WORDS)
         fs, base = filesystem(folder)
         part = TaskContext.get().partitionId()
         seen: dict = {}
@@ -170,14 +171,13 @@ def write_ids(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 0) ->
             yield from rows
 
         write_whole(fs, path, file_chunks(again(), bits_for(codec.n_ids), seen))
-        codec.forget()
         yield pa.RecordBatch.from_pydict(
             {"part": pa.array([part], pa.int32()), "path": [path], "n_docs": [seen["n_docs"]], "n_ids": [seen["n_ids"]]}
         )
 
     bounded_batches(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
-    written = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(tidy(run), MANIFEST)
+    written = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(tidy(run, keeps=True), MANIFEST)
     return stored(written, "manifest")
 
 

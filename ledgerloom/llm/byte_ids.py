@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from ledgerloom.llm.common import one_thread, tokenizer_path
+from ledgerloom.llm.common import KEPT, one_thread, tokenizer_path
 from ledgerloom.llm.unit_cache import UnitCache
 
 #: A space or line break after other white space: plain splitting would cut a run of it.
@@ -43,7 +43,7 @@ class IdEncoder:
         self.forget()
 
     def forget(self) -> None:
-        """Drop the words that are kept; a task does so at its end, since its worker lives on beside others."""
+        """Drop the words that are kept."""
         self.words = UnitCache(self._fresh_ids, self.limit)
 
     def _fresh_ids(self, fresh: list) -> list[list[int]]:
@@ -105,6 +105,8 @@ class IdEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder(name: str) -> IdEncoder:
-    """The encoder of this worker process; the vocabulary is loaded once."""
-    return IdEncoder(name)
+def encoder(name: str, limit: int) -> IdEncoder:
+    """The encoder of this worker process; tasks that follow find its words."""
+    own = IdEncoder(name, limit)
+    KEPT.append(own.forget)
+    return own

@@ -78,11 +78,26 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def tidy(run):
-    """A function over batches that gives memory back at its end."""
+#: What a worker process keeps between tasks, as functions that drop it.
+KEPT: list = []
+
+
+def drop_kept() -> None:
+    for drop in KEPT:
+        drop()
+
+
+def tidy(run, keeps: bool = False):
+    """A function over batches that gives memory back at its end.
+
+    Worker processes are shared by all tasks of a session; unless it ``keeps``
+    them, the function drops what earlier ones have kept there.
+    """
 
     @functools.wraps(run)
     def wrapped(batches):
+        if not keeps:
+            drop_kept()
         try:
             yield from run(batches)
         finally:

@@ -33,6 +33,8 @@ from ledgerloom.llm.common import bounded_batches, slices, table, tidy
 from ledgerloom.session import stored
 
 ENCODE_BYTES = 2 << 20
+#: Words kept per worker. Two workers per core take part in a packing stage.
+KEPT_WORDS = 300_000
 
 
 class CapacityTree:
@@ -171,7 +173,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(vocabulary)
+        codec = encoder(vocabulary, KEPT_WORDS)
         for batch in batches:
             names, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
             for a, b in slices(list(map(len, texts)), ENCODE_BYTES):
@@ -195,11 +197,10 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
                     ],
                     names=["doc_id", "piece", "start", "length", "ids"],
                 )
-        codec.forget()
 
     bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        tidy(run), "doc_id long, piece int, start long, length long, ids binary"
+        tidy(run, keeps=True), "doc_id long, piece int, start long, length long, ids binary"
     )
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, one_thread, ragged, slices, table, tidy, tokenizer_path
+from ledgerloom.llm.common import KEPT, bounded_batches, one_thread, ragged, slices, table, tidy, tokenizer_path
 from ledgerloom.llm.suffix_blocks import refine, word_view
 from ledgerloom.llm.unit_cache import UnitCache
 
@@ -260,7 +260,9 @@ def as_text(data: bytes) -> str:
 @lru_cache(maxsize=1)
 def worker_encoder(path: str) -> PieceEncoder:
     """The encoder of this worker process; tasks that follow find its units."""
-    return PieceEncoder(path)
+    own = PieceEncoder(path)
+    KEPT.append(own.units.clear)
+    return own
 
 
 def encode_pieces(docs: DataFrame, vocabulary: str, decode: bool = False) -> DataFrame:
@@ -288,7 +290,7 @@ def encode_pieces(docs: DataFrame, vocabulary: str, decode: bool = False) -> Dat
 
     bounded_batches(docs.sparkSession)
     sized = docs.select(F.col("doc_id").cast("long"), "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    return sized.mapInArrow(tidy(run), "doc_id long, n_bytes long, ids binary" + ", text string" * decode)
+    return sized.mapInArrow(tidy(run, keeps=True), "doc_id long, n_bytes long, ids binary" + ", text string" * decode)
 
 
 def decode_pieces(rows: DataFrame, vocabulary: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, one_thread, slices, table, tidy, tokenizer_path
+from ledgerloom.llm.common import KEPT, bounded_batches, one_thread, slices, table, tidy, tokenizer_path
 from ledgerloom.llm.unit_cache import UnitCache
 
 CHUNK, OVERLAP, MARGIN = 32_768, 1_024, 64
@@ -133,7 +133,9 @@ class ChunkedCounter:
 @lru_cache(maxsize=1)
 def worker_counter(name: str) -> ChunkedCounter:
     """The counter of this worker process; tasks that follow find its parts."""
-    return ChunkedCounter(name)
+    own = ChunkedCounter(name)
+    KEPT.append(own.known.clear)
+    return own
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int) -> DataFrame:
@@ -159,7 +161,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int) -> DataFrame:
     sized = docs.select(
         F.col("doc_id").cast("long"), "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
     )
-    counted = sized.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long")
+    counted = sized.mapInArrow(tidy(run, keeps=True), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

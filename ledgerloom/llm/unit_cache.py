@@ -19,6 +19,9 @@ class UnitCache:
 
     def __init__(self, learn: Callable[[list], list[list[int]]], limit: int = 300_000) -> None:
         self.learn, self.limit = learn, limit
+        self.clear()
+
+    def clear(self) -> None:
         self._set({}, np.zeros(0, np.int64), np.zeros(0, np.int32))
 
     def _set(self, places: dict, lengths: np.ndarray, flat: np.ndarray) -> None:
