@@ -154,6 +154,14 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def pair_runs(after: np.ndarray, at_once: int) -> Iterator[tuple[int, int]]:
+    """Consecutive runs of rows whose pairs (``after`` of each row) are about ``at_once``; none without pairs."""
+    total = int(after.sum())
+    if total:
+        steps = np.searchsorted(np.cumsum(after), np.arange(0, total + at_once, at_once))
+        yield from zip(steps[:-1].tolist(), [*steps[1:-1].tolist(), len(after)], strict=True)
+
+
 def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
     """A record batch; numpy columns are taken without a Python loop."""
     return pa.RecordBatch.from_arrays(

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bitmap import bitmap, may_hold, rows_that_may_match
-from ledgerloom.llm.common import bounded_batches, byte_sizes, mix, ragged, slices, table, text_bytes, tidy
+from ledgerloom.llm.common import bounded_batches, byte_sizes, mix, pair_runs, ragged, slices, table, text_bytes, tidy
 from ledgerloom.llm.components import Forest, components
 from ledgerloom.llm.exchange import Outbox, by_bucket, received
 from ledgerloom.llm.shingles import fingerprint, overlap, shingle_sets
@@ -260,14 +260,13 @@ def _meet(rule: Threshold, n_buckets: int):
             yield pa.RecordBatch.from_arrays([*none, pa.array(ids[large]), pa.array(crowd)], names=[*_BLOBS, "a", "crowd"])
         last = np.repeat(starts + count, count)
         after = np.where(large, 0, last - np.arange(len(keys)) - 1)
-        steps = np.searchsorted(np.cumsum(after), np.arange(0, after.sum() + PAIRS_AT_ONCE, PAIRS_AT_ONCE))
         found = np.zeros((0, 2), np.int64)
 
         def give(pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
             to = (mix(pairs[:, 0].view(np.uint64)) >> np.uint64(33)).astype(np.int64) % n_buckets
             yield from sent(outbox.put(to, pairs[:, 0], pairs[:, 1]))
 
-        for a, b in zip(steps[:-1], np.append(steps[1:-1], len(after)), strict=True):
+        for a, b in pair_runs(after, PAIRS_AT_ONCE):
             i = np.repeat(np.arange(a, b), after[a:b])
             j = ragged(np.arange(a, b) + 1, after[a:b])
             near = np.abs(sizes[i] - sizes[j]) <= apart

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import bounded_batches, ragged, table
+from ledgerloom.llm.common import bounded_batches, pair_runs, ragged, table
 from ledgerloom.llm.components import components, spanning
 from ledgerloom.llm.vectors import dots, matrix, usable, vectors
 from ledgerloom.session import stored
@@ -151,10 +151,9 @@ def _links(threshold: float):
             after = ends - np.arange(len(change)) - 1
             norms = np.linalg.norm(g["vector"], axis=1)
             names = g["names"].reshape(len(norms), TABLES, 1 + PROBES)
-            steps = np.searchsorted(np.cumsum(after), np.arange(0, after.sum() + PAIRS_AT_ONCE, PAIRS_AT_ONCE))
             found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             degree = np.zeros(len(norms), np.int64)
-            for a, b in zip(steps[:-1], np.append(steps[1:-1], len(after)), strict=True):
+            for a, b in pair_runs(after, PAIRS_AT_ONCE):
                 i = np.repeat(np.arange(a, b), after[a:b])
                 j = ragged(np.arange(a, b) + 1, after[a:b])
                 kept = ~((g["probe"][i] > 0) & (g["probe"][j] > 0)) & (g["node"][i] != g["node"][j])

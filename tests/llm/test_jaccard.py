@@ -84,6 +84,30 @@ def test_empty_table(spark):
     assert similar_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def unrelated(n: int, words: int = 12) -> list[tuple]:
+    return [(i, " ".join(f"{i}w{k}" for k in range(words))) for i in range(n)]
+
+
+@pytest.mark.parametrize("docs", [unrelated(1), unrelated(5), [*unrelated(5), (9, unrelated(5)[2][1] + " more")]])
+@pytest.mark.parametrize("partitions", [8, 200])
+def test_buckets_without_pairs(spark, docs, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        rows = similar_texts(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs)
+
+
+def test_buckets_of_crowds_only(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CROWD", 3)
+    base = " ".join(f"w{k}" for k in range(40))
+    docs = [(i, f"{base} tail{i}") for i in range(12)]
+    rows = similar_texts(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs)
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(1)
     rule = jaccard_join.Threshold(Fraction(3, 4))

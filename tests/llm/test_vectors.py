@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import vector_dedup
 from ledgerloom.llm.neighbours import nearest, quantise
 
 SCHEMA = "vec_id long, embedding array<float>, rank string, label int"
@@ -47,6 +49,13 @@ def test_few_or_no_candidates(spark):
     assert nearest(frame, F.col("vec_id") < 0, 20).count() == 0
 
 
+def test_a_group_of_one_row_has_no_pairs():
+    names = np.zeros((1, vector_dedup.TABLES * (1 + vector_dedup.PROBES)), np.int64)
+    one = {k: pa.array([0], pa.int64()) for k in ("place", "low", "high", "tile", "probe", "node")}
+    batch = pa.RecordBatch.from_pydict({**one, "copies": pa.array([1]), "vector": pa.array([[1.0, 2.0]]), "names": pa.array(names.tolist())})
+    assert sum(b.num_rows for b in vector_dedup._links(0.9)(iter([batch]))) == 0
+
+
 def test_rounding_errors_are_bounds():
     rows = np.random.default_rng(0).normal(size=(50, 33))
     codes, scales, errors = quantise(rows)
