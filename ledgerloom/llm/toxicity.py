@@ -13,10 +13,14 @@ logistic curve over the two, the logarithm of the length, turns them into a
 probability; it is fitted on learnable rows that were not counted, so it sees
 the ratios that unseen text gets.
 
-Counting is a distributed sum by six-byte string and grows with the labelled
-text. What tasks look up is bounded: ratios live in ``SLOTS`` hashed cells,
-strings that share one are averaged by their counts. The curve is fitted on a
-histogram of the features, whose size is fixed. Nothing else reaches the driver.
+Counting is a distributed sum by six-byte string, and the model is a table of
+one ratio per counted string and one per context, which holds all of them and
+grows with the labelled text. Texts that are scored are stored in chunks. A
+chunk asks for each of its distinct strings once, in messages by hash bucket of
+the context; a bucket holds its part of the model and answers from it, with the
+context's ratio where the string was not counted; chunks look their answers up
+in the shared folder. The curve is fitted on a histogram of the features, whose
+size is fixed. Nothing else reaches the driver, and nothing is broadcast.
 
 Labels, lang, source and doc_id are no inputs of a score. doc_id picks the
 learnable rows: crc32(doc_id as text) mod 5 is 0 for held-out rows, 1 to 3 for
@@ -35,22 +39,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bitmap import rows_that_may_match
-from ledgerloom.llm.common import bounded_batches, byte_sizes, mix, slices, table, text_bytes, tidy
-from ledgerloom.session import stored
+from ledgerloom.llm.common import bounded_batches, byte_sizes, filesystem, mix, slices, table, text_bytes, tidy
+from ledgerloom.llm.exchange import Outbox, by_bucket, received
+from ledgerloom.session import shared_folder, stored
 
 ORDER, SHARED = 6, 3
 DISCOUNT = 0.75
-SLOT_BITS = 21
-SLOTS = 1 << SLOT_BITS
 STRETCH = 24
 #: Cells per feature of the histogram.
 BINS = 64
 COUNT_BYTES = 4 << 20
 SCORE_BYTES = 1 << 20
+CHUNK_BYTES = 8 << 20
+TABLE_BITS = 21
+#: What a row adds to a chunk besides its text.
+ROW_BYTES = 64
+BUCKET_GRAMS = 1 << 20
+MODEL_KINDS = ["<u8", "<f4"]
+MESSAGE = "bucket int, chunk long, c0 binary, c1 binary"
+#: Marks the key of a context, whose ratio strings with an unseen last byte get.
+CONTEXT = np.uint64(1 << (8 * ORDER))
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -77,8 +93,9 @@ def strings(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key, lengths
 
 
-def slot(key: np.ndarray) -> np.ndarray:
-    return (mix(key + np.uint64(1)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def bucket_of(five: np.ndarray, n_buckets: int) -> np.ndarray:
+    """A context's bucket, which all strings that start with it share."""
+    return ((mix(five + np.uint64(1)) >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int32)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,14 +118,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def model_rows(learn: DataFrame) -> DataFrame:
-    """(slot, kind, ratio, weight): log ratios of strings (kind 0) and of contexts with an unseen next byte (kind 1)."""
+def model_rows(learn: DataFrame) -> tuple[DataFrame, int]:
+    """The model as messages by bucket (keys and log ratios as bytes), and the number of buckets.
+
+    Keys are strings, and contexts marked by ``CONTEXT``.
+    """
     grams = stored(
         learn.mapInArrow(tidy(_count), "gram long, toxic long, plain long")
         .groupBy("gram")
         .agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")),
         "grams",
     )
+    n_buckets = max(int(learn.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * grams.count() // BUCKET_GRAMS + 1)
     mask = (1 << (8 * SHARED)) - 1
     tail = grams.select(F.col("gram").bitwiseAND(F.lit(mask)).alias("tail")).groupBy("tail").agg(F.count("*").alias("cc"))
     byte = tail.groupBy(F.col("tail").bitwiseAND(F.lit(255)).alias("byte")).agg(F.sum("cc").alias("bc"), F.count("*").alias("bt"))
@@ -133,37 +154,186 @@ def model_rows(learn: DataFrame) -> DataFrame:
         grams.join(five, F.shiftright("gram", 8) == F.col("five"))
         .join(shared, F.col("gram").bitwiseAND(F.lit(mask)) == F.col("tail"))
         .select(
-            F.col("gram").alias("key"), F.lit(0).alias("kind"),
+            F.col("gram").alias("key"), F.lit(False).alias("context"),
             F.log((seen("toxic", "ct") + F.col("lt") * F.col("ps")) / (seen("plain", "cp") + F.col("lp") * F.col("ps"))).alias("ratio"),
-            (F.col("toxic") + F.col("plain")).alias("weight"),
         )
     )
-    unseen = five.select(F.col("five").alias("key"), F.lit(1).alias("kind"), F.log(F.col("lt") / F.col("lp")).alias("ratio"), (F.col("ct") + F.col("cp")).alias("weight"))
+    unseen = five.select(F.col("five").alias("key"), F.lit(True).alias("context"), F.log(F.col("lt") / F.col("lp")).alias("ratio"))
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        outbox = Outbox(n_buckets, MODEL_KINDS)
         for batch in batches:
-            at = slot(batch.column("key").to_numpy().astype(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *batch.columns[1:]], names=["slot", *batch.schema.names[1:]])
+            key = batch.column("key").to_numpy().astype(np.uint64)
+            context = batch.column("context").to_numpy(zero_copy_only=False).astype(bool)
+            bucket = bucket_of(np.where(context, key, key >> np.uint64(8)), n_buckets)
+            yield from outbox.put(bucket, np.where(context, key | CONTEXT, key), batch.column("ratio").to_numpy())
+        yield from outbox.flush()
+
+    return stored(ratios.union(unseen).mapInArrow(tidy(pack), "bucket int, c0 binary, c1 binary"), "model"), n_buckets
+
+
+def find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``asked`` stands among sorted ``keys``, and whether it does."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return at, keys[at] == asked
+
+
+def look_up(keys: np.ndarray, ratios: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Ratio of each string: its own, else its context's, else 0."""
+    out = np.zeros(len(grams), np.float32)
+    at, own = find(keys, grams)
+    out[own] = ratios[at[own]]
+    rest = np.flatnonzero(~own)
+    at, seen = find(keys, (grams[rest] >> np.uint64(8)) | CONTEXT)
+    out[rest[seen]] = ratios[at[seen]]
+    return out
+
+
+def place(key: np.ndarray) -> np.ndarray:
+    return (mix(key + np.uint64(1)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
+
+
+def distinct(key: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys; repeats of the last key of a table's cell are left out before the sort."""
+    cell, own = np.empty(1 << TABLE_BITS, np.int32), np.arange(len(key), dtype=np.int32)
+    at = place(key)
+    cell[at] = own
+    last = cell[at]
+    return np.unique(key[(last == own) | (key[last] != key)])
+
+
+def find_repeated(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`find`, for many asked: a table finds most, those that meet another key there are searched."""
+    cell = np.zeros(1 << TABLE_BITS, np.int32)
+    cell[place(keys)] = np.arange(len(keys), dtype=np.int32)
+    at = cell[place(asked)].astype(np.int64)
+    known = keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
+    rest = np.flatnonzero(~known)
+    at[rest], known[rest] = find(keys, asked[rest])
+    return at, known
 
-    hashed = ratios.union(unseen).mapInArrow(cells, "slot int, kind int, ratio double, weight long")
-    return hashed.groupBy("slot", "kind").agg((F.sum(F.col("ratio") * F.col("weight")) / F.sum("weight")).cast("float").alias("ratio"))
 
+def grams_in(texts: pa.Array) -> np.ndarray:
+    """The distinct strings of some texts, sorted."""
+    found = [np.zeros(0, np.uint64)]
+    for a, b in slices(byte_sizes(texts), SCORE_BYTES):
+        found.append(distinct(strings(*text_bytes(texts.slice(a, b - a)))[0]))
+    return np.unique(np.concatenate(found))
 
-def load_model(rows: DataFrame) -> np.ndarray:
-    """Cells as an array of shape (2, SLOTS); at most that many rows reach the driver."""
-    model = np.full((2, SLOTS), np.nan, np.float32)
-    found = rows.toArrow()
-    model[found.column("kind").to_numpy(), found.column("slot").to_numpy()] = found.column("ratio").to_numpy()
-    return model
 
+def dealt(grams: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of sorted strings by bucket, the buckets that have any, and where each one's start in that order, with the end."""
+    bucket = bucket_of(grams >> np.uint64(8), n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    present, starts = np.unique(bucket[order], return_index=True)
+    return order, present, np.append(starts, len(grams))
 
-def features(model: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Mean ratio, largest mean over a stretch, and log length of each row."""
+
+def planes(grams: np.ndarray) -> bytes:
+    """Sorted strings with their first bytes together, then their second ones, and so on: they compress well."""
+    return grams.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - ORDER :].T.tobytes()
+
+
+def from_planes(data) -> np.ndarray:
+    own = np.frombuffer(data, np.uint8).reshape(ORDER, -1)
+    whole = np.zeros((own.shape[1], 8), np.uint8)
+    whole[:, 8 - ORDER :] = own.T
+    return whole.view(">u8")[:, 0].astype(np.uint64)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, rest) in chunks of about CHUNK_BYTES; a chunk is one row."""
+    task, count = TaskContext.get().partitionId(), 0
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def chunk() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        one = lambda c: pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows.column(c).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([(task << 32) + count]), one("text"), one("rest")], names=["chunk", "texts", "rest"])
+
+    for batch in batches:
+        sizes = [ROW_BYTES + n for n in byte_sizes(batch.column("text"))]
+        for a, b in slices(sizes, CHUNK_BYTES // 8):
+            own = sum(sizes[a:b])
+            if held and size + own > CHUNK_BYTES:
+                yield chunk()
+                held, size, count = [], 0, count + 1
+            held.append(batch.slice(a, b - a))
+            size += own
+    if held:
+        yield chunk()
+
+
+def _asked(n_buckets: int):
+    """The distinct strings of each chunk, as messages by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                grams = grams_in(batch.column("texts")[i].values)
+                order, present, at = dealt(grams, n_buckets)
+                grams = grams[order]
+                n = len(present)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(present, pa.int32()),
+                        pa.array([batch.column("chunk")[i].as_py()] * n, pa.int64()),
+                        pa.array([planes(grams[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+                        pa.nulls(n, pa.binary()),
+                    ],
+                    names=["bucket", "chunk", "c0", "c1"],
+                )
+
+    return run
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ratios for the messages of chunks; a bucket's part of the model (chunk is NULL) comes before them."""
+    model, keys, ratios = [], np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    for batch in batches:
+        of_model = batch.column("chunk").is_null()
+        model.append(batch.filter(of_model))
+        asked = batch.filter(pc.invert(of_model))
+        if not asked.num_rows:
+            continue
+        if model:
+            more_keys, more_ratios = received(iter(model), MODEL_KINDS)
+            keys, ratios = np.concatenate([keys, more_keys]), np.concatenate([ratios, more_ratios])
+            order = np.argsort(keys)
+            keys, ratios, model = keys[order], ratios[order], []
+        grams = [from_planes(v.as_buffer()) for v in asked.column("c0")]
+        found = look_up(keys, ratios, np.concatenate(grams))
+        ends = np.cumsum([len(g) for g in grams])
+        out = pa.array([found[b - len(g) : b].astype("<f4").tobytes() for g, b in zip(grams, ends, strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([asked.column("chunk"), asked.column("bucket"), out], names=["chunk", "bucket", "ratios"])
+
+
+def answers(folder: str, chunk: int, grams: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Ratios of the sorted ``grams`` that the chunk asked for."""
+    out = np.zeros(len(grams), np.float32)
+    if not len(grams):
+        return out
+    fs, base = filesystem(folder)
+    found = {}
+    for info in fs.get_file_info(pafs.FileSelector(f"{base}/chunk={chunk}")):
+        if info.path.endswith(".parquet"):
+            with fs.open_input_file(info.path) as handle:
+                rows = pq.ParquetFile(handle).read(columns=["bucket", "ratios"])
+            found |= zip(rows.column("bucket").to_pylist(), rows.column("ratios").to_pylist(), strict=True)
+    order, present, _ = dealt(grams, n_buckets)
+    out[order] = np.frombuffer(b"".join(found[b] for b in present.tolist()), "<f4")
+    return out
+
+
+def features(model: tuple[np.ndarray, np.ndarray], data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Mean ratio, largest mean over a stretch, and log length of each row; the model is sorted strings and their ratios."""
     key, lengths = strings(data, at)
-    ratio = model[0][slot(key)]
-    unseen = np.flatnonzero(np.isnan(ratio))
-    ratio[unseen] = model[1][slot(key[unseen] >> np.uint64(8))]
-    sums = np.concatenate([[0.0], np.cumsum(np.nan_to_num(ratio).astype(np.float64))])
+    where, known = find_repeated(model[0].astype(np.uint64, copy=False), key)
+    ratio = np.where(known, model[1][where] if len(model[1]) else 0, 0)
+    sums = np.concatenate([[0.0], np.cumsum(ratio.astype(np.float64))])
     out = np.zeros((len(lengths), 3))
     some = lengths > 0
     out[some, 0] = (sums[at[1:]] - sums[at[:-1]])[some] / lengths[some]
@@ -177,18 +347,19 @@ def features(model: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _features_of(shared):
+def _features_of(folder: str, n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("_scored")
-            found = [np.zeros((0, 3))]
-            for a, b in slices(byte_sizes(texts), SCORE_BYTES):
-                data, own = text_bytes(texts.slice(a, b - a))
-                found.append(features(shared.value, data, own))
-            columns = [c for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != "_scored"]
-            names = [n for n in batch.schema.names if n != "_scored"]
-            both = np.concatenate(found)
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(both[:, i]) for i in range(3))], names=[*names, "_f0", "_f1", "_f2"])
+            for i in range(batch.num_rows):
+                texts, rest = batch.column("texts")[i].values, batch.column("rest")[i].values
+                grams = grams_in(texts)
+                model = grams, answers(folder, batch.column("chunk")[i].as_py(), grams, n_buckets)
+                for a, b in slices([ROW_BYTES + n for n in byte_sizes(texts)], SCORE_BYTES):
+                    own = texts.slice(a, b - a)
+                    both = features(model, *text_bytes(own))
+                    yield pa.RecordBatch.from_arrays(
+                        [own, rest.slice(a, b - a), *(pa.array(both[:, k]) for k in range(3))], names=["text", "rest", "_f0", "_f1", "_f2"]
+                    )
 
     return run
 
@@ -218,6 +389,23 @@ def fit_curve(cells: list[tuple[int, int, int, int]]) -> np.ndarray:
     return w
 
 
+def with_features(docs: DataFrame, keep: tuple[str, ...], model: DataFrame, n_buckets: int) -> DataFrame:
+    """The columns ``keep`` of every document and its features."""
+    spark = docs.sparkSession
+    rest = F.struct(*[F.col(c) for c in keep if c != "text"]) if set(keep) - {"text"} else F.struct(F.lit(0).alias("_"))
+    docs = docs.select("text", rest.alias("rest"))
+    kind = docs.schema["rest"].dataType.simpleString()
+    chunks = stored(docs.mapInArrow(tidy(_chunks), f"chunk long, texts array<string>, rest array<{kind}>"), "chunks", "zstd")
+    asked = chunks.select("chunk", "texts").mapInArrow(tidy(_asked(n_buckets)), MESSAGE)
+    sent = model.select("bucket", F.lit(None).cast("long").alias("chunk"), "c0", "c1").union(asked)
+    found = by_bucket(sent, n_buckets).sortWithinPartitions(F.asc_nulls_first("chunk")).mapInArrow(tidy(_answered), "chunk long, bucket int, ratios binary")
+    folder = shared_folder(spark, "ratios")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found.repartition(n, "chunk").sortWithinPartitions("chunk").write.partitionBy("chunk").parquet(folder)
+    out = chunks.mapInArrow(tidy(_features_of(folder, n_buckets)), f"text string, rest {kind}, {FEATURES}")
+    return out.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in keep], "_f0", "_f1", "_f2")
+
+
 class ToxicityModel:
     """Fitted on ``documents`` and ``labels``; :meth:`score` adds score and predicted to any documents."""
 
@@ -228,12 +416,10 @@ class ToxicityModel:
         known = known.where(fold("doc_id") != 0)
         rows = rows_that_may_match(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", known, "doc_id")
         rows = rows.join(known.hint("merge"), "doc_id")
-        learn = stored(rows.withColumn("fold", fold("doc_id")), "labelled")
+        learn = stored(rows.withColumn("fold", fold("doc_id")), "labelled", "zstd")
         counted = learn.where("fold < 4").select("text", "toxic")
-        self.shared = spark.sparkContext.broadcast(load_model(model_rows(counted)))
-        found = learn.where("fold = 4").select("toxic", F.col("text").alias("_scored")).mapInArrow(
-            _features_of(self.shared), f"toxic int, {FEATURES}"
-        )
+        self.model = model_rows(counted)
+        found = with_features(learn.where("fold = 4"), ("toxic",), *self.model)
         bins = [
             F.least(F.greatest(F.floor((F.col(f"_f{i}") - low) * (BINS / (high - low))), F.lit(0)), F.lit(BINS - 1)).alias(f"b{i}")
             for i, (low, high) in enumerate(LIMITS)
@@ -243,9 +429,7 @@ class ToxicityModel:
 
     def score(self, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         """The columns ``keep`` of every document, its score and predicted."""
-        rows = docs.select(*keep)
-        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-        found = docs.select(*keep, F.col("text").alias("_scored")).mapInArrow(tidy(_features_of(self.shared)), f"{kinds}, {FEATURES}")
+        found = with_features(docs, keep, *self.model)
         at = F.lit(self.weights[0])
         for i, w in enumerate(self.weights[1:]):
             at = at + F.lit(w) * F.col(f"_f{i}")

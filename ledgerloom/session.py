@@ -66,12 +66,12 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}/{purpose}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` to a fresh shared folder and read it back.
 
     Cuts the lineage: readers no longer repeat the work, a lost executor costs
     a re-read only, and Spark knows the real size.
     """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

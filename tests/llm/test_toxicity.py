@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -50,6 +52,59 @@ def test_without_labels_nothing_is_toxic(spark):
     assert ToxicityModel(spark, frame.limit(0), none).score(frame.limit(0)).count() == 0
 
 
+def kneser_ney(texts: list[tuple[str, int]]):
+    """Log ratio of any six-byte string, by dictionaries."""
+    count, d = [Counter(), Counter()], 0.75
+    for text, toxic in texts:
+        for i in range(len(text)):
+            count[toxic][(" " * 5 + text.lower())[i : i + 6]] += 1
+    every = set(count[0]) | set(count[1])
+    tail = Counter(g[3:] for g in every)
+    context, kinds, byte = Counter(), Counter(t[:2] for t in tail), Counter()
+    for t, n in tail.items():
+        context[t[:2]] += n
+        byte[t[2]] += n
+    five, after = [Counter(), Counter()], [Counter(), Counter()]
+    for c in (0, 1):
+        for g, n in count[c].items():
+            five[c][g[:5]] += n
+            after[c][g[:5]] += 1
+
+    def ratio(g: str) -> float:
+        back = [d * after[c][g[:5]] / five[c][g[:5]] if five[c][g[:5]] else 1.0 for c in (0, 1)]
+        if g not in every:
+            return math.log(back[1] / back[0])
+        p1 = (byte[g[5]] + 1) / (len(every) + 256)
+        shared = (max(tail[g[3:]] - d, 0) + d * kinds[g[3:5]] * p1) / context[g[3:5]]
+        own = [max(count[c][g] - d, 0) / five[c][g[:5]] if five[c][g[:5]] else 0.0 for c in (0, 1)]
+        return math.log((own[1] + back[1] * shared) / (own[0] + back[0] * shared))
+
+    return ratio
+
+
+def test_every_string_has_its_own_ratio(spark):
+    """Strings in the ten thousands, of which held-out rows share few: none may read another one's ratio."""
+    rng = random.Random(11)
+    letters = "abcdefghijkl"
+    docs = []
+    for i in range(240):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(20, 160))]
+        if i % 4 == 0:
+            words[rng.randrange(len(words))] = rng.choice(INSULTS)
+        docs.append((i, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    model = ToxicityModel(spark, frame, labels)
+    ratio = kneser_ney([(t, int(i % 4 == 0)) for i, t in docs if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3)])
+    got = {r.doc_id: r.score for r in model.score(frame).collect()}
+    assert len(got) == len(docs)
+    for i, text in docs:
+        own = [ratio((" " * 5 + text)[k : k + 6]) for k in range(len(text))]
+        best = max(sum(own[max(0, k - 23) : k + 1]) / 24 for k in range(len(own)))
+        at = float(np.dot(model.weights, [1, np.mean(own), best, np.log1p(len(own))]))
+        assert abs(got[i] - 1 / (1 + math.exp(-min(max(at, -40), 40)))) < 1e-3
+
+
 def test_strings_do_not_cross_rows():
     data = np.frombuffer(b"ABcdefgABcdefg", np.uint8)
     key, lengths = strings(data, np.array([0, 7, 7, 14]))
