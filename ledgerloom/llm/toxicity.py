@@ -29,8 +29,11 @@ counted ones, 4 for the curve.
 Cases: NULL and empty texts get the score of a text without evidence. A row
 without doc_id, or without a label, is scored but not learned from; several
 labels of a doc_id count as toxic if any is. Repeated documents are learned
-from and scored each. Without any learnable toxic and ordinary row the score is
-0. Other columns are not read.
+from and scored each. If fold 4 or the counted folds lack toxic or ordinary rows,
+the curve is fitted on another of the folds 1 to 4 for which both have them, and
+the others are counted; if there is none, all learnable rows are both counted
+and fitted on. Without a learnable toxic row, or without an ordinary one, the
+score is 0 (below 1e-17). Other columns are not read.
 """
 
 from __future__ import annotations
@@ -372,7 +375,7 @@ def fit_curve(cells: list[tuple[int, int, int, int]]) -> np.ndarray:
     """Logistic weights (bias first) from a histogram of features: rows (b0, b1, b2, toxic, n)."""
     rows = np.array(cells, np.float64).reshape(-1, 5)
     if not len(rows) or len(np.unique(rows[:, 3])) < 2:
-        return np.array([-40.0 if not rows[:, 3].any() else 40.0, 0, 0, 0])
+        return np.array([-40.0, 0, 0, 0])
     middle = np.array([low + (rows[:, i] + 0.5) * (high - low) / BINS for i, (low, high) in enumerate(LIMITS)]).T
     x = np.column_stack([np.ones(len(rows)), middle])
     y, n = rows[:, 3], rows[:, 4]
@@ -406,6 +409,14 @@ def with_features(docs: DataFrame, keep: tuple[str, ...], model: DataFrame, n_bu
     return out.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in keep], "_f0", "_f1", "_f2")
 
 
+def curve_fold(classes: set[tuple[int, bool]]) -> int | None:
+    """Of folds 4 to 1 the first that has both classes, as the others have, from (fold, toxic) with rows."""
+    for own in (4, 3, 2, 1):
+        if len({t for f, t in classes if f == own}) == len({t for f, t in classes if f != own}) == 2:
+            return own
+    return None
+
+
 class ToxicityModel:
     """Fitted on ``documents`` and ``labels``; :meth:`score` adds score and predicted to any documents."""
 
@@ -417,9 +428,10 @@ class ToxicityModel:
         rows = rows_that_may_match(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", known, "doc_id")
         rows = rows.join(known.hint("merge"), "doc_id")
         learn = stored(rows.withColumn("fold", fold("doc_id")), "labelled", "zstd")
-        counted = learn.where("fold < 4").select("text", "toxic")
+        own = curve_fold({(r.fold, r.y) for r in learn.groupBy("fold", (F.col("toxic") > 0).alias("y")).count().collect()})
+        counted = learn.where(F.lit(True) if own is None else F.col("fold") != own).select("text", "toxic")
         self.model = model_rows(counted)
-        found = with_features(learn.where("fold = 4"), ("toxic",), *self.model)
+        found = with_features(learn.where(F.lit(True) if own is None else F.col("fold") == own), ("toxic",), *self.model)
         bins = [
             F.least(F.greatest(F.floor((F.col(f"_f{i}") - low) * (BINS / (high - low))), F.lit(0)), F.lit(BINS - 1)).alias(f"b{i}")
             for i, (low, high) in enumerate(LIMITS)

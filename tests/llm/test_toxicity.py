@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from ledgerloom.llm.toxicity import ToxicityModel, features, strings
 
@@ -52,6 +53,23 @@ def test_without_labels_nothing_is_toxic(spark):
     assert ToxicityModel(spark, frame.limit(0), none).score(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "left_out",
+    [lambda f, t: f == 4 and t, lambda f, t: f == 4 and not t, lambda f, t: f != 4 and t, lambda f, t: not t, lambda f, t: t],
+    ids=["no toxic in fold 4", "only toxic in fold 4", "toxic only in fold 4", "only toxic", "only ordinary"],
+)
+def test_a_class_missing_in_a_fold(spark, left_out):
+    docs, labels = corpus(400)
+    folds = [zlib.crc32(str(i).encode()) % 5 for i in range(len(docs))]
+    kept = [row for row in labels if not left_out(folds[row[0]], row[2])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, score double").repartition(3)
+    rows = ToxicityModel(spark, frame, spark.createDataFrame(kept, "doc_id long, quality int, toxic int")).score(frame).collect()
+    if len({t for i, _, t in kept if folds[i]}) < 2:
+        assert max(r.score for r in rows) < 1e-17
+    else:
+        assert np.mean([r.predicted == labels[r.doc_id][2] for r in rows if folds[r.doc_id] == 0]) > 0.9
+
+
 def kneser_ney(texts: list[tuple[str, int]]):
     """Log ratio of any six-byte string, by dictionaries."""
     count, d = [Counter(), Counter()], 0.75
