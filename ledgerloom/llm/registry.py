@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerloom.llm.bit_files import op8_bit_files
+from ledgerloom.llm.decontaminate import ORACLE_OP13, op13_decontaminate
 from ledgerloom.llm.jaccard_join import op2_jaccard_join
 from ledgerloom.llm.neighbours import op7_block_neighbours
 from ledgerloom.llm.packing import op1_best_fit_packing
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_bit_files": op8_bit_files,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_warc": op10_warc,
+    "op13_decontaminate": op13_decontaminate,
 }
 
-ORACLES: dict[str, str] = {"op10_warc": ORACLE_OP10}
+ORACLES: dict[str, str] = {"op10_warc": ORACLE_OP10, "op13_decontaminate": ORACLE_OP13}
