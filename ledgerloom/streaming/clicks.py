@@ -117,17 +117,20 @@ def drain_batches(
     handle: Callable[[DataFrame], DataFrame] | None = None,
     mode: str = "append",
     schema: T.StructType | str | None = None,
+    partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Run over all that has arrived; each batch overwrites its own partition.
 
     ``handle`` turns a batch, a plain DataFrame, into the rows to store. A batch
     that is tried again replaces what its first try wrote. The result has the
-    column ``batch_id``.
+    column ``batch_id``. ``partition_by`` names columns whose values become folders
+    inside a batch's own.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = handle(batch) if handle else batch
-        rows.write.mode("overwrite").parquet(f"{target}/rows/batch_id={batch_id}")
+        parts = rows.write.mode("overwrite").partitionBy(*partition_by)
+        parts.parquet(f"{target}/rows/batch_id={batch_id}")
 
     query = (
         stream.writeStream.outputMode(mode)
