@@ -226,9 +226,53 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ticket for every customer, all text; some categories hold a line break."""
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("T"), key.cast("string")).alias("ticket_id"),
+        key.cast("string").alias("customer_id"),
+        F.when(key % 6 == 0, F.concat("c_mktsegment", F.lit(",\n\"urgent\""))).otherwise(F.col("c_mktsegment")).alias("issue_category"),
+        F.concat(F.lit("2024-03-"), F.lpad((key % 28 + 1).cast("string"), 2, "0")).alias("created_at"),
+        F.when(key % 3 == 0, "open").otherwise("closed").alias("status"),
+        F.when(key % 3 != 0, (key % 72).cast("string")).alias("resolution_time_hours"),
+    )
+
+
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream, whether it is one file or a folder."""
     schema = table(spark, sf_dir, "events").schema
     # A glob, since a stream refuses a path that is a single plain file.
     path = f"{sf_dir.rstrip('/')}/{{events}}.parquet"
     return spark.readStream.schema(schema).parquet(path)
+
+
+def click_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream of JSON messages, some broken, without id, late in the day or too long."""
+    key = F.col("event_id")
+    body = F.to_json(
+        F.struct(
+            F.when(key % 13 != 0, key.cast("string")).alias("click_id"),
+            F.col("user_id").cast("string").alias("customer_id"),
+            page_of(key, F.col("event_type"), key % 19 == 0).alias("page_url"),
+            F.when(key % 17 == 0, F.lit("yesterday")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("click_timestamp"),
+            device_of(key).alias("device_type"),
+        )
+    )
+    return event_stream(spark, sf_dir).select(
+        F.when(key % 11 == 0, F.substring(body, 1, 20)).otherwise(body).cast("binary").alias("value"),
+        F.lit("clicks").alias("topic"),
+        (key % 4).cast("int").alias("partition"),
+        key.alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+def page_of(key: Column, kind: Column, long: Column | bool = False) -> Column:
+    page = F.concat(F.lit("/"), kind, F.lit("/"), (key % 7).cast("string"))
+    return F.when(F.lit(long) if isinstance(long, bool) else long, F.rpad(page, 600, "x")).otherwise(page)
+
+
+def device_of(key: Column) -> Column:
+    """A device for four of five clicks."""
+    return F.when(key % 5 == 1, "tablet").when(key % 5 == 2, "phone").when(key % 5 > 2, "desktop")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ledgerloom.sources.csv_ranges import csv_records, largest_file
 from ledgerloom.sources.schemas import RAW_TABLES, Field, text_schema
 
 # Field texts that mean NULL, and the options of the file format.
@@ -22,30 +24,53 @@ CSV_OPTIONS = {
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, table: str, multiline: bool = True
+    spark: SparkSession, path: str | list[str], table: str, multiline: bool | str = True
 ) -> DataFrame:
     """Read files as text columns plus ``ingest_order``, the place of the row.
 
     Short rows are padded with NULL, extra fields are dropped. Quoted fields may
-    hold line breaks, so a file is read by one task. ``multiline=False`` splits
-    large files; it is for files that are known to have no such fields.
+    hold line breaks: a file of one scan range is read by one task, larger ones
+    are read range by range (``csv_ranges``). ``multiline="ranges"`` asks for that
+    way at any size. ``multiline=False`` is one pass less, for files that are
+    known to have no such fields.
     """
+    schema = text_schema(table)
+    if multiline == "ranges" or multiline and largest_file(spark, path) > _range_bytes(spark):
+        records = csv_records(spark, path)
+        options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+        ddl = ", ".join(f"`{f.name}` string" for f in schema)
+        row = F.from_csv("record", ddl, options)
+        raw = records.select(row.alias("fields"), *_PLACE).select("fields.*", *_PLACE)
+        return raw.select(*_nulled(table), F.struct(*_PLACE).alias("ingest_order"))
     raw = (
-        spark.read.schema(text_schema(table))
+        spark.read.schema(schema)
         .options(**CSV_OPTIONS)
-        .option("multiLine", str(multiline).lower())
+        .option("multiLine", str(bool(multiline)).lower())
         .csv(path)
     )
-    fields = [
-        F.when(~F.col(f.name).isin(*NULL_TOKENS), F.col(f.name)).alias(f.name)
-        for f in RAW_TABLES[table]
-    ]
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    return raw.select(*fields, place.alias("ingest_order"))
+    return raw.select(*_nulled(table), place.alias("ingest_order"))
+
+
+_PLACE = ("file", "block", "row")
+
+
+def _range_bytes(spark: SparkSession) -> int:
+    """Bytes of a scan range; files of more are worth more than one task."""
+    said = spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"]
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", said.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def _nulled(table: str) -> list[Column]:
+    return [
+        F.when(~F.col(f.name).isin(*NULL_TOKENS), F.col(f.name)).alias(f.name)
+        for f in RAW_TABLES[table]
+    ]
 
 
 def header_echo(table: str) -> Column:
@@ -87,7 +112,7 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 
 def load_csv(
-    spark: SparkSession, path: str, table: str, multiline: bool = True
+    spark: SparkSession, path: str, table: str, multiline: bool | str = True
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, quarantined rows) of the files under ``path``."""
     checked = check_rows(read_csv_text(spark, path, table, multiline), table)
@@ -95,7 +120,7 @@ def load_csv(
 
 
 def land_csv(
-    spark: SparkSession, path: str, table: str, target: str, multiline: bool = True
+    spark: SparkSession, path: str, table: str, target: str, multiline: bool | str = True
 ) -> tuple[DataFrame, DataFrame]:
     """Parse the files once into Parquet, split by outcome, and read both parts back."""
     checked = check_rows(read_csv_text(spark, path, table, multiline), table)
