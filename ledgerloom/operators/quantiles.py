@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
+import struct
+import sys
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ledgerloom.session import stored
 
-ACCURACY = 10_000  # rank error of the sketches: rows / ACCURACY
-BRACKET_ROWS = 1_000_000  # a bracket is narrowed until it holds no more rows
-MAX_ROUNDS = 8
+
+#: A pass tells apart so many cells of each range it looks at.
+CELLS = 1 << 16
 
 
 class Middle(NamedTuple):
@@ -27,15 +29,6 @@ class Middle(NamedTuple):
         return self.low + (self.high - self.low) * self.part
 
 
-class Bracket(NamedTuple):
-    """Value range that holds the wanted ranks; ``below`` rows lie under it."""
-
-    low: float
-    high: float
-    below: int
-    inside: int
-
-
 def exact_quantiles(
     df: DataFrame, column: str, probabilities: list[float], bracketed: bool = True
 ) -> list[Middle | None]:
@@ -43,16 +36,18 @@ def exact_quantiles(
 
     Runs jobs at once, as ``approxQuantile`` does; give it a stored table
     rather than a long plan. ``bracketed=False`` orders all distinct values in one
-    task: one job, for input that is known to be small. Otherwise a sketch brackets each rank, one pass counts the rows under
-    and in each bracket, wide brackets are narrowed the same way, and only the
-    values inside are grouped and ordered. Every answer rests on exact counts;
-    the sketch only chooses the brackets. None stands for an empty column.
+    task: one job, for input that is known to be small. Otherwise the ranks are
+    found digit by digit: a double's bits, read as a number that grows with it,
+    have four digits of 16 bits. Each of at most four passes counts the rows by their
+    next digit within the ranges that the digits so far leave, combined before the
+    shuffle; so no task orders more than 65,536 counts for each rank, however the
+    values lie and however many there are. None stands for an empty column.
     """
     values = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v")
     )
     if bracketed:
-        return _by_brackets(values, probabilities)
+        return _by_digits(values, probabilities)
     return _by_one_order(values, probabilities)
 
 
@@ -92,121 +87,67 @@ def _by_one_order(values: DataFrame, probabilities: list[float]) -> list[Middle
     ]
 
 
-def _edges(p: float) -> list[float]:
-    """Fractions that surely lie on both sides of ``p`` despite the sketch error."""
-    return [max(0.0, p - 2 / ACCURACY), min(1.0, p + 2 / ACCURACY)]
+def _with_bits(values: DataFrame) -> DataFrame:
+    """(v, b): b is a long that orders as the doubles do, their bits, those of negative ones counted down from 0.
 
-
-def _sketch(value: Column, fractions: list[float]) -> Column:
-    return F.approx_percentile(value, [float(f) for f in fractions], ACCURACY)
-
-
-def _by_brackets(values: DataFrame, probabilities: list[float]) -> list[Middle | None]:
-    wanted = [f for p in probabilities for f in _edges(p)]
-    first = values.agg(
-        F.count("v"), F.min("v"), F.max("v"), _sketch(F.col("v"), wanted)
-    ).first()
-    rows, least, most, guesses = first
+    Powers of two are exact, so is a division by one; the logarithm may be one
+    off, which the quotient shows. Below the smallest normal number the distance
+    to 0 counts steps of 2**-1074. One step to a projection, so that none is
+    computed twice.
+    """
+    sized = values.select("v", F.abs("v").alias("a"))
+    sized = sized.select("v", "a", F.greatest(F.least(F.floor(F.log2("a")), F.lit(1023)), F.lit(-1022)).cast("double").alias("e"))
+    sized = sized.select("v", "a", "e", (F.col("a") / F.pow(F.lit(2.0), F.col("e"))).alias("m"))
+    off = F.when(F.col("m") < 1, -1).when(F.col("m") >= 2, 1).otherwise(0)
+    sized = sized.select("v", "a", "e", "m", off.alias("off"))
+    m = F.when(F.col("off") < 0, F.col("m") * 2).when(F.col("off") > 0, F.col("m") / 2).otherwise(F.col("m"))
+    normal = (F.col("e").cast("long") + F.col("off") + 1023) * F.lit(1 << 52) + ((m - 1.0) * float(1 << 52)).cast("long")
+    steps = (F.col("a") * float(2**537) * float(2**537)).cast("long")
+    bits = F.when(F.col("a") == float("inf"), F.lit(0x7FF << 52)).when(F.col("a") < sys.float_info.min, steps).otherwise(normal)
+    sized = sized.select("v", bits.alias("b"))
+    return sized.select("v", F.when(F.col("v") < 0, -F.col("b")).otherwise(F.col("b")).alias("b"))
+
+
+def _double(bits: int) -> float:
+    """Inverse of :func:`_with_bits`."""
+    value = struct.unpack(">d", struct.pack(">q", abs(bits)))[0]
+    return -value if bits < 0 else value
+
+
+def _small(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A few rows of numbers as an inline table, to be broadcast."""
+    values = ", ".join(f"({', '.join(f'{x}L' if x > -(1 << 63) else f'-{(1 << 63) - 1}L - 1L' for x in row)})" for row in rows)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {values} AS t({names})"))
+
+
+def _by_digits(values: DataFrame, probabilities: list[float]) -> list[Middle | None]:
+    spark = values.sparkSession
+    # The passes read this one narrow column, ranges by their bounds.
+    keyed = stored(_with_bits(values).select("b"), "quantile-bits")
+    rows = keyed.count()
     if not rows:
         return [None] * len(probabilities)
-    ranks = [_place(rows, p) for p in probabilities]
-    ranges = [
-        # The outermost ranks may miss by one row of rounding, so they get the true ends.
-        (
-            least if _edges(p)[0] == 0.0 else guesses[2 * i],
-            most if _edges(p)[1] == 1.0 else guesses[2 * i + 1],
-        )
-        for i, p in enumerate(probabilities)
-    ]
-    whole = Bracket(least, most, 0, rows)
-    brackets = _count(values, ranges, [whole] * len(ranges))
-    for i, (bracket, rank) in enumerate(zip(brackets, ranks)):
-        if not _holds(bracket, rank):
-            brackets[i] = whole
-    brackets = _narrow(values, brackets, ranks)
-    return _select(values, brackets, ranks, rows)
-
-
-def _holds(bracket: Bracket, rank: tuple) -> bool:
-    return bracket.below <= rank[0] and rank[1] < bracket.below + bracket.inside
-
-
-def _within(bracket: Bracket) -> Column:
-    return F.col("v").between(bracket.low, bracket.high)
-
-
-def _count(
-    values: DataFrame, ranges: list[tuple[float, float]], outer: list[Bracket]
-) -> list[Bracket]:
-    """Brackets for the ranges, each of which lies within its outer bracket."""
-    counts = []
-    for (low, high), around in zip(ranges, outer):
-        counts.append(F.count_if(_within(around) & (F.col("v") < low)))
-        counts.append(F.count_if(F.col("v").between(low, high)))
-    found = values.agg(*counts).first()
-    return [
-        Bracket(low, high, outer[i].below + found[2 * i], found[2 * i + 1])
-        for i, (low, high) in enumerate(ranges)
-    ]
-
-
-def _narrow(values: DataFrame, brackets: list[Bracket], ranks: list[tuple]) -> list[Bracket]:
-    """Shrink the wide brackets, all of them in two passes per round."""
-    for _ in range(MAX_ROUNDS):
-        wide = [
-            i for i, b in enumerate(brackets) if b.inside > BRACKET_ROWS and b.low < b.high
-        ]
-        if not wide:
-            break
-        old = [brackets[i] for i in wide]
-        near = values.where(reduce(Column.__or__, [_within(b) for b in old]))
-        sketches = []
-        for i, b in zip(wide, old):
-            low, high = ((rank - b.below) / b.inside for rank in ranks[i][:2])
-            fractions = [_edges(low)[0], _edges(high + 1 / b.inside)[1]]
-            sketches.append(_sketch(F.when(_within(b), F.col("v")), fractions))
-        guesses = [tuple(guess) for guess in near.agg(*sketches).first()]
-        tried = _count(near, guesses, old)
-        better = [
-            (i, b)
-            for i, b in zip(wide, tried)
-            if _holds(b, ranks[i]) and b.inside < brackets[i].inside
-        ]
-        if not better:
-            break
-        for i, b in better:
-            brackets[i] = b
-    return brackets
-
-
-def _select(
-    values: DataFrame, brackets: list[Bracket], ranks: list[tuple], rows: int
-) -> list[Middle]:
-    """Order the values inside the brackets, all brackets in one pass."""
-    v, b = F.col("v"), F.col("bracket")
-    wide = [i for i, bracket in enumerate(brackets) if bracket.low < bracket.high]
-    found = {}
-    if wide:
-        inside = {i: _within(brackets[i]) for i in wide}
-        holders = F.array_compact(F.array(*[F.when(inside[i], F.lit(i)) for i in wide]))
-        counted = (
-            values.where(reduce(Column.__or__, inside.values()))
-            .groupBy("v")
-            .agg(F.count("*").alias("n"))
-            .select("v", "n", F.explode(holders).alias("bracket"))
-        )
-        ordered = Window.partitionBy("bracket").orderBy("v")
-        upto = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-
-        def rank(side: int) -> Column:
-            return F.coalesce(
-                *[F.when(b == i, F.lit(ranks[i][side] - brackets[i].below)) for i in wide]
-            )
-
-        picked = counted.withColumn("upto", upto).groupBy("bracket")
-        for i, low, high in picked.agg(_at_rank(rank(0)), _at_rank(rank(1))).collect():
-            found[i] = (low, high)
-    return [
-        Middle(*found.get(i, (brackets[i].low, brackets[i].low)), ranks[i][2], rows)
-        for i in range(len(brackets))
-    ]
+    # A wanted rank, where the range of bits [low, low + width) that holds it starts, and the rows below that.
+    width, whole = 1 << 64, -(1 << 63)
+    wanted = [(rank, whole, 0) for p in probabilities for rank in _place(rows, p)[:2]]
+    inside = rows
+    while width > 1:
+        cells = keyed.withColumn("low", F.lit(whole))
+        if width < 1 << 64:
+            lows = sorted({low for _, low, _ in wanted})
+            near = keyed.where(F.col("b").between(lows[0], lows[-1] + width - 1))
+            few = _small(spark, [(low,) for low in lows], "low")
+            cells = near.withColumn("of", F.col("b").bitwiseAND(F.lit(-width))).join(few, F.col("of") == F.col("low"))
+        # No more rows than a pass has cells: all remaining digits at once.
+        width = 1 if inside <= CELLS else width // CELLS
+        counted = cells.groupBy("low", F.col("b").bitwiseAND(F.lit(-width)).alias("cell")).agg(F.count("*").alias("n"))
+        order = Window.partitionBy("low").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+        running = counted.withColumn("upto", F.sum("n").over(order))
+        asked = _small(spark, [(i, low, rank - below) for i, (rank, low, below) in enumerate(wanted)], "i, own, rank")
+        holds = (F.col("low") == F.col("own")) & (F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank"))
+        found = running.join(asked, holds).select("i", "cell", F.col("upto") - F.col("n"), "n").collect()
+        for i, cell, under, _ in found:
+            wanted[i] = (wanted[i][0], cell, wanted[i][2] + under)
+        inside = sum({cell: n for _, cell, _, n in found}.values())
+    ends = [_double(low) for _, low, _ in wanted]
+    return [Middle(ends[2 * i], ends[2 * i + 1], _place(rows, p)[2], rows) for i, p in enumerate(probabilities)]

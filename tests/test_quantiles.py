@@ -24,11 +24,10 @@ def test_small_columns(spark, size, bracketed):
     assert got == pytest.approx([np.quantile(values, p) for p in WANTED])
 
 
-@pytest.mark.parametrize("shape", ["normal", "hot_value", "two_values", "constant", "huge_spread"])
-def test_narrowing_rounds(spark, monkeypatch, shape):
-    """A low row limit forces brackets to be narrowed again and again."""
-    monkeypatch.setattr(quantiles, "BRACKET_ROWS", 5)
-    monkeypatch.setattr(quantiles, "ACCURACY", 20)
+@pytest.mark.parametrize("shape", ["normal", "hot_value", "two_values", "constant", "huge_spread", "tiny", "both_signs"])
+def test_passes_find_the_rows_whatever_the_shape(spark, monkeypatch, shape):
+    """Digits of 8 bits, so that 5,000 rows take several passes."""
+    monkeypatch.setattr(quantiles, "CELLS", 256)
     rng = np.random.default_rng(3)
     values = {
         "normal": rng.normal(size=5000),
@@ -36,10 +35,27 @@ def test_narrowing_rounds(spark, monkeypatch, shape):
         "two_values": np.where(rng.random(5000) < 0.5, 1.0, 2.0),
         "constant": np.full(5000, 4.0),
         "huge_spread": np.exp(rng.normal(size=5000) * 20),
+        "tiny": rng.integers(-50, 50, 5000) * 5e-324,
+        "both_signs": np.concatenate([rng.normal(size=2498) * 1e-300, -np.exp(rng.normal(size=2498) * 200), [0.0, -0.0, 1.7976931348623157e308, 2.2250738585072014e-308]]),
     }[shape]
     got = exact_quantiles(frame(spark, values), "x", WANTED, bracketed=True)
-    assert [m.value for m in got] == pytest.approx([np.quantile(values, p) for p in WANTED])
-    assert all(m.rows == 5000 for m in got)
+    want = np.sort(values)
+    for p, m in zip(WANTED, got, strict=True):
+        assert (m.low, m.high) == tuple(want[quantiles._place(len(want), p)[i]] for i in (0, 1)) and m.rows == 5000
+
+
+def test_bits_order_as_values_do_and_lead_back(spark):
+    rng = np.random.default_rng(4)
+    some = rng.integers(-(2**63), 2**63 - 1, 4000).view(np.float64)
+    edges = [2.0**e * f for e in (-1074, -1073, -1023, -1022, -1021, -1, 0, 1, 52, 53, 1023) for f in (1, 1 - 2**-53, 1 + 2**-52)]
+    values = np.array([v for v in [*some.tolist(), *edges, *(-np.array(edges))] if v == v])
+    rows = quantiles._with_bits(frame(spark, values).withColumnRenamed("x", "v")).collect()
+    assert len(rows) == len(values) and all(quantiles._double(r.b) == r.v for r in rows)
+
+
+def test_infinite_values_are_the_ends(spark):
+    got = exact_quantiles(frame(spark, [1.0, float("inf"), -float("inf"), 2.0]), "x", [0.0, 1.0])
+    assert [m.low for m in got] == [-float("inf"), float("inf")]
 
 
 @pytest.mark.parametrize("bracketed", [False, True])
