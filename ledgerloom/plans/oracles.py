@@ -168,6 +168,9 @@ def segmented(source: str) -> str:
                 AS segment FROM tiers)"""
 
 
+PAGE = "'/' || event_type || '/' || CAST(event_id % 7 AS VARCHAR)"
+DEVICE = "CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'tablet' WHEN 2 THEN 'phone' ELSE 'desktop' END"
+
 CLICKS = """late AS (SELECT max(ts) - INTERVAL 1 HOUR AS passed FROM events)"""
 
 ORACLES: dict[str, str] = {
@@ -431,9 +434,13 @@ ORACLES: dict[str, str] = {
       SELECT 'my_second_model', count(*), count(*) - count(id), count(id) - count(DISTINCT id), 0
       FROM second_model""",
     "catalog_listing": """SELECT * FROM (VALUES
-        ('order_id', 'string'), ('customer_id', 'string'), ('order_date', 'date'),
-        ('order_amount', 'decimal(10,2)'), ('total_amount', 'decimal(10,2)'))
-        AS t(col_name, data_type)""",
+        ('orders', 'table', 1, 'order_id', 'string'), ('orders', 'table', 2, 'customer_id', 'string'),
+        ('orders', 'table', 3, 'order_date', 'date'), ('orders', 'table', 4, 'order_amount', 'decimal(10,2)'),
+        ('orders', 'table', 5, 'total_amount', 'decimal(10,2)'),
+        ('vw_large', 'view', 1, 'order_id', 'string'), ('vw_large', 'view', 2, 'total', 'decimal(10,2)'),
+        ('vw_orders', 'view', 1, 'order_id', 'string'), ('vw_orders', 'view', 2, 'total', 'decimal(10,2)'),
+        ('ledgerloom_listed', 'temporary view', 1, 'customer_id', 'string'))
+        AS t(relation, kind, "position", col_name, data_type)""",
     "preview_rows": f"""WITH {CUSTOMERS}
       SELECT customer_id, first_name, last_name, country FROM cust
       ORDER BY customer_id LIMIT 5""",
@@ -500,4 +507,108 @@ ORACLES: dict[str, str] = {
     "stream_enriched": """SELECT event_id AS click_id, user_id AS customer_id, event_type,
              c_name, c_mktsegment
       FROM events LEFT JOIN customer ON user_id = c_custkey AND c_custkey % 13 <> 0""",
+    "csv_multiline_ranges": """WITH notes AS (
+        SELECT *, CASE WHEN o_orderkey % 4 = 0
+          THEN o_orderpriority || chr(10) || '"' || repeat('a, ""b' || chr(10), o_orderkey % 40) || '"'
+          ELSE o_orderpriority END AS note FROM orders)
+      SELECT CAST(o_orderkey AS VARCHAR) AS ticket_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+             CASE WHEN o_orderkey % 9 = 0 THEN 'x,' || chr(10) || ',y' ELSE o_orderstatus END AS issue_category,
+             CAST(length(note) AS INTEGER) AS note_length, md5(note) AS note_md5,
+             CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 100 AS VARCHAR) END
+               AS resolution_time_hours FROM notes""",
+    "csv_reload": f"""WITH {FAULTY_ORDERS}
+      SELECT 'raw_customers' AS table_name, count(*) AS total_rows, count(DISTINCT c_custkey) AS keys,
+             count(*) AS rows_read, CAST(0 AS INTEGER) AS files_in_last_load FROM customer
+      UNION ALL SELECT 'raw_products', count(*), count(DISTINCT p_partkey), count(*), 0 FROM part
+      UNION ALL SELECT 'raw_orders', count(*), count(DISTINCT order_id), count(*), 0 FROM faulty
+      UNION ALL SELECT 'raw_clicks', count(*), count(DISTINCT event_id), count(*), 0 FROM events
+      UNION ALL SELECT 'raw_support_tickets', count(*), count(DISTINCT c_custkey), count(*), 0 FROM customer""",
+    "incremental_load": f"""WITH {ORDERS}, keyed AS (
+        SELECT CAST(order_id AS BIGINT) AS order_id, customer_id, order_amount FROM heads),
+      ends AS (SELECT max(order_id) AS z FROM keyed)
+      SELECT order_id, customer_id,
+             CAST(order_amount + CASE WHEN order_id >= 3 * z // 4 THEN 1 ELSE 0 END AS DOUBLE) AS order_amount
+      FROM keyed CROSS JOIN ends""",
+    "clone_and_vacuum": f"""WITH {ORDERS}, s AS (SELECT count(*) AS n, CAST(sum(order_amount) AS DOUBLE) AS a,
+          CAST(sum(CAST(order_amount * 2 AS DECIMAL(10,2))) AS DOUBLE) AS b FROM heads)
+      SELECT 'orders' AS table_name, n AS n_rows, b AS amount, CAST(1 AS BIGINT) AS folders_removed FROM s
+      UNION ALL SELECT 'orders_backup', 2 * n, 2 * a, 1 FROM s
+      UNION ALL SELECT 'orders_copy', 2 * n, 2 * a, 1 FROM s""",
+    "lasting_views": f"""WITH {ENRICHED}, {CUSTOMERS}, days AS (SELECT order_date, sum(order_amount) AS r FROM enriched GROUP BY 1),
+      named AS (SELECT c.customer_id, first_name || ' ' || last_name AS customer_name, sum(order_amount) AS r
+                FROM enriched e JOIN cust c ON e.customer_id = c.customer_id GROUP BY 1, 2
+                ORDER BY r DESC NULLS FIRST, 1 LIMIT 10)
+      SELECT 'fact_orders' AS relation, count(*) AS n_rows, {money('sum(order_amount)', 'amount')} FROM enriched
+      UNION ALL SELECT 'vw_top_customers', count(*), {money('sum(r)', 'amount')} FROM named
+      UNION ALL SELECT 'vw_sales_anomalies', count(*), {money('sum(r)', 'amount')} FROM days
+      UNION ALL SELECT 'vw_orders', count(*), {money('sum(order_amount)', 'amount')} FROM enriched
+      UNION ALL SELECT 'vw_customers', count(*), NULL FROM customer
+      UNION ALL SELECT 'vw_products', count(*), NULL FROM part
+      UNION ALL SELECT 'staging_clicks', count(*), NULL FROM events
+      UNION ALL SELECT 'staging_support_tickets', count(*), NULL FROM customer
+      UNION ALL SELECT 'new_customers_daily', count(DISTINCT f), sum(n) FROM (
+        SELECT CAST(min(o_orderdate) AS DATE) AS f, 1.0::DOUBLE AS n FROM orders GROUP BY o_custkey)
+      UNION ALL SELECT 'orders_enriched_backup', count(*), {money('sum(order_amount)', 'amount')} FROM enriched
+      UNION ALL SELECT 'dim_customers_backup', count(*), NULL FROM customer
+      UNION ALL SELECT 'dim_products_backup', count(*), NULL FROM part""",
+    "layer_reconciliation": f"""WITH {FAULTY_ORDERS}, raw AS (
+        SELECT order_id, CAST(split_part(order_id, '-', 1) AS BIGINT) AS k, customer_id FROM faulty)
+      SELECT 'raw' AS layer, 'staging' AS next_layer, order_id, 'lost' AS kind, '' AS "columns",
+             count(*) AS n_before, CAST(0 AS BIGINT) AS n_after FROM raw WHERE k % 211 = 0 GROUP BY order_id
+      UNION ALL SELECT 'staging', 'fact', order_id, 'changed', 'quantity', count(*), count(*)
+      FROM raw WHERE k % 211 <> 0 AND k % 307 = 0 GROUP BY order_id
+      UNION ALL SELECT 'fact', 'clean', order_id, 'changed', 'customer_id', count(*), count(*)
+      FROM raw WHERE k % 211 <> 0 AND customer_id IS NULL GROUP BY order_id
+      UNION ALL SELECT 'fact', 'clean', 'new-' || order_id, 'added', '', 0, count(*)
+      FROM raw WHERE k % 211 <> 0 AND k % 401 = 0 GROUP BY order_id""",
+    "categories_in_order": f"""WITH {PRODUCTS}, sales AS (
+        SELECT category, {money('sum(CAST(l_quantity AS DECIMAL(18,0)) * price)', 'category_revenue')}
+        FROM lineitem JOIN prod ON CAST(l_partkey AS VARCHAR) = product_id GROUP BY category)
+      SELECT CAST(row_number() OVER (ORDER BY category NULLS LAST) AS INTEGER) AS place, * FROM sales""",
+    "months_in_order": f"""WITH {ORDERS}, months AS (
+        SELECT CAST(year(order_date) AS INTEGER) AS "year",
+               lpad(CAST(month(order_date) AS VARCHAR), 2, '0') AS month_num, {money('sum(order_amount)', 'revenue')}
+        FROM heads GROUP BY 1, 2)
+      SELECT CAST(row_number() OVER (ORDER BY "year", month_num) AS INTEGER) AS place, * FROM months""",
+    "stream_sessions_path": f"""WITH {CLICKS},
+      steps AS (SELECT user_id, ts, event_id, {PAGE} AS page, {DEVICE} AS device,
+                       lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),
+      marked AS (SELECT *, sum(CASE WHEN before IS NULL OR ts - before >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM steps),
+      firsts AS (SELECT user_id, s, device, min((ts, event_id)) AS moment FROM marked WHERE device IS NOT NULL GROUP BY 1, 2, 3),
+      used AS (SELECT user_id, s, string_agg(device, ',' ORDER BY moment) AS devices, arg_min(device, moment) AS device
+               FROM firsts GROUP BY 1, 2),
+      sessions AS (SELECT user_id, s, min(ts) AS a, max(ts) + INTERVAL 30 MINUTE AS b, count(*) AS clicks,
+                          string_agg(page, ' > ' ORDER BY ts, event_id) AS path FROM marked GROUP BY 1, 2)
+      SELECT user_id AS customer_id, epoch_us(a) AS start_micros, clicks, device, COALESCE(devices, '') AS devices, path
+      FROM sessions LEFT JOIN used USING (user_id, s) CROSS JOIN late WHERE b <= passed""",
+    "stream_raw_clicks": f"""WITH m AS (
+        SELECT *, CASE WHEN event_id % 13 <> 0 THEN CAST(event_id AS VARCHAR) END AS id,
+               CASE WHEN event_id % 19 = 0 THEN rpad({PAGE}, 600, 'x') ELSE {PAGE} END AS page, {DEVICE} AS device,
+               CASE WHEN event_id % 17 = 0 THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS moment FROM events),
+      body AS (SELECT *, '{{' || CASE WHEN id IS NULL THEN '' ELSE '"click_id":"' || id || '",' END
+                 || '"customer_id":"' || CAST(user_id AS VARCHAR) || '","page_url":"' || page || '","click_timestamp":"' || moment || '"'
+                 || CASE WHEN device IS NULL THEN '' ELSE ',"device_type":"' || device || '"' END || '}}' AS whole FROM m),
+      told AS (SELECT *, event_id % 11 = 0 AS broken, CASE WHEN event_id % 11 = 0 THEN substr(whole, 1, 20) ELSE whole END AS message,
+                 CASE WHEN event_id % 11 = 0 THEN 'broken_message' WHEN id IS NULL THEN 'missing:click_id'
+                      WHEN event_id % 17 = 0 THEN 'bad_time:click_timestamp'
+                      WHEN event_id % 19 = 0 THEN 'too_long:page_url' END AS reject_reason FROM body)
+      SELECT 'clicks/' || CAST(event_id % 4 AS VARCHAR) || '/' || CAST(event_id AS VARCHAR) AS place,
+             CASE WHEN NOT broken THEN id END AS click_id,
+             CASE WHEN NOT broken THEN CAST(user_id AS VARCHAR) END AS customer_id,
+             CASE WHEN NOT broken THEN page END AS page_url, CASE WHEN NOT broken THEN moment END AS click_timestamp,
+             CASE WHEN NOT broken THEN device END AS device_type, CAST(ts AS DATE) AS arrival_day, reject_reason,
+             CASE WHEN reject_reason IS NOT NULL THEN md5(message) END AS message_md5 FROM told""",
+    "stream_alert_issues": f"""WITH batch AS ({issues('propagate')}),
+      s AS (SELECT avg(value) AS m, stddev_pop(value) AS sd FROM events)
+      SELECT run_id AS origin, issue_type, order_id, column_name, bad_value AS bad_text, CAST(NULL AS DOUBLE) AS bad_number, suggestion
+      FROM batch
+      UNION ALL
+      SELECT 'clicks', 'outlier_value', CAST(event_id AS VARCHAR), 'value', NULL, value,
+             'Compare with the stored history of this measure.'
+      FROM events CROSS JOIN s WHERE abs(value - m) > 3 * sd
+      UNION ALL
+      SELECT 'clicks', 'orphan_customer_id', CAST(event_id AS VARCHAR), 'customer_id', CAST(user_id AS VARCHAR), NULL,
+             'Check customer table or assign to ''Unknown Customer''.'
+      FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 13 <> 0)""",
 }

@@ -5,10 +5,12 @@ Money leaves as a double of two places, so that both engines print it alike.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.functions import dates, labels
 from ledgerloom.operators import checks, dedupe, segments
@@ -16,12 +18,16 @@ from ledgerloom.operators.joins import lookup_join, missing_lookup, orphan_rows
 from ledgerloom.operators.joins import orphan_counts as orphan_counts_of
 from ledgerloom.operators.outliers import impute_with_median
 from ledgerloom.operators.quantiles import exact_quantiles
+from ledgerloom.operators.reconcile import reconcile_layers
 from ledgerloom.plans import dashboard, marts, quality, star
 from ledgerloom.plans.warehouse import build_warehouse
 from ledgerloom.session import shared_folder, stored
-from ledgerloom.sources import adapters, csv_files, store
+from ledgerloom.sources import adapters, csv_files, history, store
 from ledgerloom.sources.schemas import RAW_TABLES
 from ledgerloom.streaming import clicks as streams
+from ledgerloom.streaming.issues import alert_issues, drain_to_issues
+from ledgerloom.streaming.landing import land_messages
+from ledgerloom.streaming.sessions import session_paths
 
 AS_OF = date(2025, 9, 5)
 RUN_ID = "run-1"
@@ -116,6 +122,23 @@ def revenue_by_month(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("year", "month_num", "month_name", money("revenue"))
 
 
+def _ranked(rows: DataFrame, *columns: str) -> DataFrame:
+    """The place at which a reader meets each row; marts are small, so one task numbers them."""
+    order = Window.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+    return marts.in_reading_order(rows, *columns).withColumn("place", F.row_number().over(order))
+
+
+@query
+def categories_in_order(spark: SparkSession, d: str) -> DataFrame:
+    grouped = marts.category_revenue(adapters.product_sales(spark, d), adapters.products(spark, d))
+    return _ranked(grouped, "category").select("place", "category", money("category_revenue"))
+
+
+@query
+def months_in_order(spark: SparkSession, d: str) -> DataFrame:
+    return _ranked(revenue_by_month(spark, d), "year", "month_num").select("place", "year", "month_num", "revenue")
+
+
 @query
 def new_customers_daily(spark: SparkSession, d: str) -> DataFrame:
     """The first order day stands for the sign-up."""
@@ -512,6 +535,76 @@ def csv_multiline(spark: SparkSession, d: str) -> DataFrame:
     return kept.unionByName(bad.select("product_id", "product_name", F.lit(True).alias("rejected")))
 
 
+@contextmanager
+def _ranges_of(spark: SparkSession, size: str) -> Iterator[None]:
+    """Scan ranges of ``size``, so that files of the test tables have many."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, size)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@query
+def csv_multiline_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """One file of orders, read in many ranges; notes hold line breaks, quotes and commas."""
+    key = F.col("o_orderkey")
+    note = F.concat("o_orderpriority", F.lit('\n"'), F.repeat(F.lit('a, ""b\n'), (key % 40).cast("int")), F.lit('"'))
+    rows = adapters.table(spark, d, "orders").select(
+        key.cast("string").alias("ticket_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.when(key % 9 == 0, F.lit("x,\n,y")).otherwise(F.col("o_orderstatus")).alias("issue_category"),
+        F.when(key % 4 == 0, note).otherwise(F.col("o_orderpriority")).alias("created_at"),
+        F.lit("open").alias("status"),
+        F.when(key % 7 == 0, F.lit("NULL")).otherwise((key % 100).cast("string")).alias("resolution_time_hours"),
+    )
+    path = shared_folder(spark, "one-file-csv")
+    csv_files.write_csv(rows.coalesce(1), path)
+    with _ranges_of(spark, "64k"):
+        read = stored(csv_files.read_csv_text(spark, path, "raw_support_tickets", "ranges"), "tickets")
+    return read.select(
+        "ticket_id", "customer_id", "issue_category", F.length("created_at").alias("note_length"), F.md5("created_at").alias("note_md5"), "resolution_time_hours"
+    )
+
+
+@query
+def csv_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Five tables, each loaded three times from overlapping sets of files."""
+    db = _new_database(spark, "loads")
+    raw = {
+        "raw_customers": adapters.customers(spark, d),
+        "raw_products": adapters.products(spark, d),
+        "raw_orders": adapters.faulty_orders(spark, d),
+        "raw_clicks": adapters.clicks(spark, d),
+        "raw_support_tickets": adapters.support_tickets(spark, d),
+    }
+    out = []
+    for name, rows in raw.items():
+        base = shared_folder(spark, name)
+        names = [f.name for f in RAW_TABLES[name]]
+        part = F.pmod(F.xxhash64(names[0]), F.lit(3)).cast("int")
+        rows.select(*names, part.alias("set")).write.partitionBy("set").option("header", "true").option("escape", '"').csv(base)
+        sets = [[f"{base}/set={i}" for i in chosen] for chosen in ((0, 1), (1, 2), (0, 1, 2))]
+        loads = [history.load_new_files(spark, paths, name, db, f"load-{i}") for i, paths in enumerate(sets)]
+        out.append(
+            spark.table(f"{db}.{name}").agg(
+                F.lit(name).alias("table_name"),
+                F.count("*").alias("total_rows"),
+                F.count_distinct(names[0]).alias("keys"),
+                F.lit(sum(x.accepted + x.rejected for x in loads)).cast("long").alias("rows_read"),
+                F.lit(loads[2].loaded).alias("files_in_last_load"),
+            )
+        )
+    rows = out[0]
+    for one in out[1:]:
+        rows = rows.unionByName(one)
+    return rows
+
+
 @query
 def customer_transform(spark: SparkSession, d: str) -> DataFrame:
     """Extract to CSV, read typed, add the full name, write, read back."""
@@ -571,6 +664,98 @@ def store_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+@query
+def incremental_load(spark: SparkSession, d: str) -> DataFrame:
+    """Orders in loads by key range; the last one repeats some keys of the first and adds new ones."""
+    db = _new_database(spark, "increments")
+    orders = stored(adapters.order_headers(spark, d).select(F.col("order_id").cast("long").alias("order_id"), "customer_id", "order_amount"), "orders")
+    last = orders.agg(F.max("order_id")).first()[0]
+    cuts = [0, last // 4, last // 2, 3 * last // 4, last + 1]
+    for low, high in zip(cuts[:3], cuts[1:4]):
+        store.append_new_keys(orders.where(F.col("order_id").between(low, high - 1)), db, "orders", ["order_id"])
+    again = orders.where((F.col("order_id") < cuts[1] // 2) | (F.col("order_id") >= cuts[3]))
+    again = again.withColumn("order_amount", F.col("order_amount") + 1).select("order_id", "customer_id", F.col("order_amount").cast("decimal(10,2)").alias("order_amount"))
+    rows = store.append_new_keys(again, db, "orders", ["order_id"])
+    return rows.select("order_id", "customer_id", F.col("order_amount").cast("double").alias("order_amount"))
+
+
+@query
+def clone_and_vacuum(spark: SparkSession, d: str) -> DataFrame:
+    """A clone, a change of its source, and the folders that are left."""
+    db = _new_database(spark, "clones")
+    orders = adapters.order_headers(spark, d).select("order_id", "order_amount")
+    store.replace_table(orders, db, "orders")
+    store.clone_table(spark, db, "orders", "orders_backup")
+    doubled = spark.table(f"{db}.orders").withColumn("order_amount", (F.col("order_amount") * 2).cast("decimal(10,2)"))
+    store.replace_table(doubled, db, "orders")
+    store.replace_table(doubled, db, "orders")
+    more = orders.withColumn("order_id", F.concat(F.lit("n"), F.col("order_id")))
+    store.append_new_keys(more, db, "orders_backup", ["order_id"])
+    store.clone_table(spark, db, "orders_backup", "orders_copy")
+    removed = len(store.vacuum(spark, db, older_than_hours=0.0))
+    parts = [
+        spark.table(f"{db}.{name}").agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("n_rows"),
+            F.sum("order_amount").cast("double").alias("amount"),
+            F.lit(removed).cast("long").alias("folders_removed"),
+        )
+        for name in ("orders", "orders_backup", "orders_copy")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def lasting_views(spark: SparkSession, d: str) -> DataFrame:
+    """Views and passed-on tables of a whole build, read by another session of the catalog."""
+    heads = adapters.order_headers(spark, d)
+    raw = {
+        "raw_customers": adapters.customers(spark, d),
+        "raw_products": adapters.faulty_products(spark, d),
+        "raw_orders": _landed_orders(spark, d),
+        "raw_clicks": adapters.clicks(spark, d),
+        "raw_support_tickets": adapters.support_tickets(spark, d),
+        "signups": heads.groupBy("customer_id").agg(F.min("order_date").alias("signup_date")),
+    }
+    db = _new_database(spark, "served")
+    build_warehouse(raw, db, RUN_ID, AS_OF)
+    other = spark.newSession()
+    amounts = {
+        "fact_orders": "order_amount", "vw_top_customers": "total_revenue", "vw_sales_anomalies": "daily_revenue",
+        "vw_orders": "order_amount", "vw_customers": None, "vw_products": None, "staging_clicks": None, "staging_support_tickets": None,
+        "new_customers_daily": "new_customers", "orders_enriched_backup": "order_amount", "dim_customers_backup": None, "dim_products_backup": None,
+    }
+    rows = [
+        other.table(f"{db}.{name}").agg(
+            F.lit(name).alias("relation"),
+            F.count("*").alias("n_rows"),
+            money_of(F.sum(c) if c else F.lit(None)).alias("amount"),
+        )
+        for name, c in amounts.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def money_of(amount: Column) -> Column:
+    return F.round(amount.cast("double"), 2)
+
+
+@query
+def layer_reconciliation(spark: SparkSession, d: str) -> DataFrame:
+    """Raw, staging, fact and clean fact with planted differences at each step."""
+    names = ("order_id", "customer_id", "product_id", "quantity", "order_date")
+    raw = stored(adapters.faulty_orders(spark, d).select(*names), "raw")
+    line = F.split("order_id", "-")[0].cast("long")
+    staging = raw.where(line % 211 != 0)
+    dated = staging.withColumn("order_date", F.to_date("order_date"))
+    fact = dated.withColumn("quantity", F.when(line % 307 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")).cast("decimal(18,0)"))
+    copies = fact.where(line % 401 == 0).withColumn("order_id", F.concat(F.lit("new-"), F.col("order_id")))
+    clean = fact.withColumn("customer_id", F.coalesce("customer_id", F.lit("-1"))).unionByName(copies)
+    layers = {"raw": raw, "staging": staging, "fact": fact, "clean": clean}
+    rows = reconcile_layers(layers, ["order_id"], list(names[1:]))
+    return rows.withColumn("columns", F.coalesce(F.array_join("columns", ","), F.lit("")))
+
+
 @query
 def views_and_models(spark: SparkSession, d: str) -> DataFrame:
     """A starter model over inline rows and customers, and a model on that model."""
@@ -599,10 +784,16 @@ def views_and_models(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def catalog_listing(spark: SparkSession, d: str) -> DataFrame:
-    """Columns of a stored table, as the catalog describes them."""
+    """Columns of a stored table, a lasting view and a view of the session, as the catalog describes them."""
     db = _new_database(spark, "listing")
     store.replace_table(adapters.order_headers(spark, d), db, "orders")
-    return store.list_columns(spark, f"{db}.orders").select("col_name", "data_type")
+    store.publish_views(spark, db, {
+        "vw_large": "SELECT order_id, total FROM vw_orders WHERE total > 100",
+        "vw_orders": "SELECT order_id, order_amount AS total FROM orders",
+    })
+    store.replace_view(spark.table(f"{db}.orders").select("customer_id"), "ledgerloom_listed")
+    listed = store.list_relations(spark, db)
+    return listed.where("kind <> 'temporary view' OR relation = 'ledgerloom_listed'")
 
 
 @query
@@ -787,3 +978,66 @@ def stream_enriched(spark: SparkSession, d: str) -> DataFrame:
         ),
     )
     return rows.select("click_id", "customer_id", "event_type", "c_name", "c_mktsegment")
+
+
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("event_id")
+    events = adapters.event_stream(spark, d).select(
+        key.alias("click_id"),
+        F.col("user_id").alias("customer_id"),
+        adapters.page_of(key, F.col("event_type")).alias("page_url"),
+        adapters.device_of(key).alias("device_type"),
+        "ts",
+    )
+    return streams.with_event_time(events, "ts")
+
+
+@query
+def stream_sessions_path(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions that the late bound has passed, with devices and the pages in order."""
+    sessions = session_paths(_pages(spark, d), "ts", "customer_id")
+    rows = streams.drain_to_files(sessions, shared_folder(spark, "session-paths"))
+    return rows.select(
+        "customer_id",
+        F.unix_micros("session_start").alias("start_micros"),
+        "clicks",
+        "device",
+        F.array_join("devices", ",").alias("devices"),
+        F.array_join("path", " > ").alias("path"),
+    )
+
+
+@query
+def stream_raw_clicks(spark: SparkSession, d: str) -> DataFrame:
+    """Messages landed raw: rows that load and rows that do not, by arrival day."""
+    good, bad = land_messages(adapters.click_messages(spark, d), shared_folder(spark, "raw-clicks"))
+    columns = ("place", "click_id", "customer_id", "page_url", "click_timestamp", "device_type", "arrival_day")
+    none = F.lit(None).cast("string")
+    kept = good.select(*columns, none.alias("reject_reason"), none.alias("message_md5"))
+    return kept.unionByName(bad.select(*columns, "reject_reason", F.md5("message").alias("message_md5")))
+
+
+@query
+def stream_alert_issues(spark: SparkSession, d: str) -> DataFrame:
+    """Alerts of the stream next to the issues of a batch run, out of one table."""
+    db = _new_database(spark, "issues")
+    store.append_run(quality.issue_log(_flagged(spark, d, "propagate"), RUN_ID), db, "data_quality_issues", RUN_ID)
+    known = streams.reference_of(adapters.table(spark, d, "events"), "value")
+    alerts = streams.alert_batch(_known_customers(spark, d), "click_id", "customer_id", "value", known)
+    drain_to_issues(
+        _event_clicks(spark, d),
+        lambda batch: alert_issues(alerts(batch), "click_id", "customer_id", "value"),
+        db,
+        "clicks",
+        shared_folder(spark, "alert-checkpoint"),
+    )
+    measured = F.col("issue_type") == "outlier_value"
+    return spark.table(f"{db}.data_quality_issues").select(
+        F.substring_index("run_id", ".", 1).alias("origin"),
+        "issue_type",
+        "order_id",
+        "column_name",
+        F.when(~measured, F.col("bad_value")).alias("bad_text"),
+        F.when(measured, F.col("bad_value").cast("double")).alias("bad_number"),
+        "suggestion",
+    )

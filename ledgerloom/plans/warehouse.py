@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.operators.checks import missing_counts, repeated_keys
 from ledgerloom.operators.dedupe import first_per_key
-from ledgerloom.plans import marts, star
+from ledgerloom.plans import marts, star, views
 from ledgerloom.plans.quality import clean_fact, flag_fact, issue_log
-from ledgerloom.sources.store import append_run, materialize, replace_table, replace_view
+from ledgerloom.sources.store import append_run, clone_table, materialize, publish_views, replace_table
 
 
 def build_warehouse(
@@ -31,9 +31,14 @@ def build_warehouse(
 
     ``raw`` holds accepted raw tables. Customers and products that come with an
     ``ingest_order`` are reduced to one row per key. Only tables that are read
-    again are stored; pass-through copies are views. With ``enforce_keys`` no mart
-    is published while a key test fails.
+    again are stored; pass-through copies are lasting views of the catalog
+    (``plans.views``), which other sessions read too. ``raw_clicks`` and
+    ``raw_support_tickets`` are passed on to staging where they are given, and
+    ``signups`` (customer_id, signup_date) make ``new_customers_daily``. Backups of
+    the staged tables are clones, made before the quality run. With ``enforce_keys``
+    no mart is published while a key test fails.
     """
+    spark = raw["raw_orders"].sparkSession
     customers, products = (
         _one_per_key(raw[name], key)
         for name, key in (("raw_customers", "customer_id"), ("raw_products", "product_id"))
@@ -53,12 +58,22 @@ def build_warehouse(
     }.items():
         built[name] = replace_table(df, database, name)
 
-    staging = star.staged_orders(built["orders_enriched"])
-    built["staging_orders"] = replace_view(staging, "staging_orders")
-    built["dim_date"] = replace_table(star.observed_dates(staging), database, "dim_date")
-    # The staged fact only selects and casts, so it needs no copy of its own.
-    fact = replace_view(star.typed_fact(star.staged_fact(staging)), "fact_orders")
-    built["fact_orders"] = fact
+    publish_views(spark, database, views.STAGING)
+    for name in views.STAGING:
+        built[name] = spark.table(f"{database}.{name}")
+    fact = built["fact_orders"]
+    built["dim_date"] = replace_table(star.observed_dates(built["staging_orders"]), database, "dim_date")
+    for name in views.BACKUPS:
+        built[f"{name}_backup"] = clone_table(spark, database, name, f"{name}_backup")
+    for name, (table, staged) in views.PASSED_ON.items():
+        if name in raw:
+            built[table] = replace_table(raw[name].drop("ingest_order"), database, table)
+            publish_views(spark, database, {staged: f"SELECT * FROM {table}"})
+            built[staged] = spark.table(f"{database}.{staged}")
+    if "signups" in raw:
+        built["new_customers_daily"] = replace_table(
+            marts.new_customers_daily(raw["signups"]), database, "new_customers_daily"
+        )
 
     # The flags are stored once; the clean fact and the issue log both read them.
     flagged = replace_table(
@@ -85,13 +100,15 @@ def build_warehouse(
     conformed = built["fact_orders_conformed"]
     for name, df in {
         "top_customers": marts.top_customers(clean),
-        "vw_top_customers": marts.top_customers_named(clean, built["dim_customers"]),
         "customer_spend": marts.customer_spend(conformed, built["dim_customers_conformed"]),
         "product_category_sales": marts.category_sales(clean, built["dim_products"]),
         "anomalies": marts.sales_anomalies(clean),
         "revenue_by_month": marts.revenue_by_month(conformed, built["dim_date_conformed"]),
     }.items():
         built[name] = materialize(df, name, marts_as, database)
+    publish_views(spark, database, views.READERS)
+    for name in views.READERS:
+        built[name] = spark.table(f"{database}.{name}")
     return built
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +24,7 @@ SETTINGS = {
 }
 
 _local_base: dict[str, str] = {}
+_collecting: list[list[str]] = []
 
 
 def build_session(master: str | None = None, settings: dict[str, str] | None = None) -> SparkSession:
@@ -63,7 +67,39 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.sparkContext.applicationId
         base = _local_base.setdefault(app, tempfile.mkdtemp(prefix="run-"))
-    return f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}/{purpose}"
+    path = f"{base.rstrip('/')}/ledgerloom-{uuid.uuid4().hex}/{purpose}"
+    for made in _collecting:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """The shared folders that are made inside the block, for ``release`` once nothing reads them."""
+    made: list[str] = []
+    _collecting.append(made)
+    try:
+        yield made
+    finally:
+        # By identity: equal lists are not the same one.
+        _collecting[:] = [m for m in _collecting if m is not made]
+
+
+def release(spark: SparkSession, folders: list[str]) -> None:
+    """Remove shared folders of this module, and shuffle files that no DataFrame can reach any more.
+
+    Call it when what was computed from the folders is itself stored: a lost
+    executor then costs a re-read of that, and nothing asks for the folders again.
+    Spark drops shuffle files once the driver's JVM has collected their owners,
+    so it is asked to do that now.
+    """
+    for folder in folders:
+        if "/ledgerloom-" not in folder:
+            raise ValueError(f"not a folder made by shared_folder: {folder}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder.rsplit("/", 1)[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def stored(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:

