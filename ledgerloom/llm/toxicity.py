@@ -19,7 +19,7 @@ grows with the labelled text. Texts that are scored are stored in chunks. A
 chunk asks for each of its distinct strings once, in messages by hash bucket of
 the context; a bucket holds its part of the model and answers from it, with the
 context's ratio where the string was not counted; chunks look their answers up
-in the shared folder. The curve is fitted on a histogram of the features, whose
+in the shared folder. What the fit has stored is removed when the curve is fitted. The curve is fitted on a histogram of the features, whose
 size is fixed. Nothing else reaches the driver, and nothing is broadcast.
 
 Labels, lang, source and doc_id are no inputs of a score. doc_id picks the
@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.bitmap import rows_that_may_match
 from ledgerloom.llm.common import bounded_batches, byte_sizes, filesystem, mix, slices, table, text_bytes, tidy
 from ledgerloom.llm.exchange import Outbox, by_bucket, received
-from ledgerloom.session import shared_folder, stored
+from ledgerloom.session import collecting, release, shared_folder, stored
 
 ORDER, SHARED = 6, 3
 DISCOUNT = 0.75
@@ -67,6 +67,9 @@ TABLE_BITS = 21
 ROW_BYTES = 64
 BUCKET_GRAMS = 1 << 20
 MODEL_KINDS = ["<u8", "<f4"]
+MODEL = "model"
+#: Ratios travel to the chunks rounded to 11 binary digits.
+ANSWER = "<f2"
 MESSAGE = "bucket int, chunk long, c0 binary, c1 binary"
 #: Marks the key of a context, whose ratio strings with an unseen last byte get.
 CONTEXT = np.uint64(1 << (8 * ORDER))
@@ -172,7 +175,7 @@ def model_rows(learn: DataFrame) -> tuple[DataFrame, int]:
             yield from outbox.put(bucket, np.where(context, key | CONTEXT, key), batch.column("ratio").to_numpy())
         yield from outbox.flush()
 
-    return stored(ratios.union(unseen).mapInArrow(tidy(pack), "bucket int, c0 binary, c1 binary"), "model"), n_buckets
+    return stored(ratios.union(unseen).mapInArrow(tidy(pack), "bucket int, c0 binary, c1 binary"), MODEL), n_buckets
 
 
 def find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,7 +313,7 @@ def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = [from_planes(v.as_buffer()) for v in asked.column("c0")]
         found = look_up(keys, ratios, np.concatenate(grams))
         ends = np.cumsum([len(g) for g in grams])
-        out = pa.array([found[b - len(g) : b].astype("<f4").tobytes() for g, b in zip(grams, ends, strict=True)], pa.binary())
+        out = pa.array([found[b - len(g) : b].astype(ANSWER).tobytes() for g, b in zip(grams, ends, strict=True)], pa.binary())
         yield pa.RecordBatch.from_arrays([asked.column("chunk"), asked.column("bucket"), out], names=["chunk", "bucket", "ratios"])
 
 
@@ -327,7 +330,7 @@ def answers(folder: str, chunk: int, grams: np.ndarray, n_buckets: int) -> np.nd
                 rows = pq.ParquetFile(handle).read(columns=["bucket", "ratios"])
             found |= zip(rows.column("bucket").to_pylist(), rows.column("ratios").to_pylist(), strict=True)
     order, present, _ = dealt(grams, n_buckets)
-    out[order] = np.frombuffer(b"".join(found[b] for b in present.tolist()), "<f4")
+    out[order] = np.frombuffer(b"".join(found[b] for b in present.tolist()), ANSWER)
     return out
 
 
@@ -405,6 +408,9 @@ def with_features(docs: DataFrame, keep: tuple[str, ...], model: DataFrame, n_bu
     folder = shared_folder(spark, "ratios")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found.repartition(n, "chunk").sortWithinPartitions("chunk").write.partitionBy("chunk").parquet(folder)
+    # The messages are answered; their shuffle files need not wait for the texts' scores.
+    del asked, sent, found
+    release(spark, [])
     out = chunks.mapInArrow(tidy(_features_of(folder, n_buckets)), f"text string, rest {kind}, {FEATURES}")
     return out.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in keep], "_f0", "_f1", "_f2")
 
@@ -417,27 +423,35 @@ def curve_fold(classes: set[tuple[int, bool]]) -> int | None:
     return None
 
 
+def _fitted(docs: DataFrame, labels: DataFrame) -> tuple[tuple[DataFrame, int], list[float]]:
+    """The model of the learnable documents, and the weights of the curve."""
+    known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # Labels cover a part of the documents, and one time in five a row is held out: the other texts are not shuffled.
+    known = known.where(fold("doc_id") != 0)
+    rows = rows_that_may_match(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", known, "doc_id")
+    rows = rows.join(known.hint("merge"), "doc_id")
+    learn = stored(rows.withColumn("fold", fold("doc_id")), "labelled", "zstd")
+    own = curve_fold({(r.fold, r.y) for r in learn.groupBy("fold", (F.col("toxic") > 0).alias("y")).count().collect()})
+    counted = learn.where(F.lit(True) if own is None else F.col("fold") != own).select("text", "toxic")
+    model = model_rows(counted)
+    found = with_features(learn.where(F.lit(True) if own is None else F.col("fold") == own), ("toxic",), *model)
+    bins = [
+        F.least(F.greatest(F.floor((F.col(f"_f{i}") - low) * (BINS / (high - low))), F.lit(0)), F.lit(BINS - 1)).alias(f"b{i}")
+        for i, (low, high) in enumerate(LIMITS)
+    ]
+    cells = found.groupBy(*bins, (F.col("toxic") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()
+    return model, fit_curve([(r.b0, r.b1, r.b2, r.y, r.n) for r in cells]).tolist()
+
+
 class ToxicityModel:
     """Fitted on ``documents`` and ``labels``; :meth:`score` adds score and predicted to any documents."""
 
     def __init__(self, spark, docs: DataFrame, labels: DataFrame) -> None:
         bounded_batches(spark)
-        known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        # Labels cover a part of the documents, and one time in five a row is held out: the other texts are not shuffled.
-        known = known.where(fold("doc_id") != 0)
-        rows = rows_that_may_match(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", known, "doc_id")
-        rows = rows.join(known.hint("merge"), "doc_id")
-        learn = stored(rows.withColumn("fold", fold("doc_id")), "labelled", "zstd")
-        own = curve_fold({(r.fold, r.y) for r in learn.groupBy("fold", (F.col("toxic") > 0).alias("y")).count().collect()})
-        counted = learn.where(F.lit(True) if own is None else F.col("fold") != own).select("text", "toxic")
-        self.model = model_rows(counted)
-        found = with_features(learn.where(F.lit(True) if own is None else F.col("fold") == own), ("toxic",), *self.model)
-        bins = [
-            F.least(F.greatest(F.floor((F.col(f"_f{i}") - low) * (BINS / (high - low))), F.lit(0)), F.lit(BINS - 1)).alias(f"b{i}")
-            for i, (low, high) in enumerate(LIMITS)
-        ]
-        cells = found.groupBy(*bins, (F.col("toxic") > 0).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()
-        self.weights = fit_curve([(r.b0, r.b1, r.b2, r.y, r.n) for r in cells]).tolist()
+        with collecting() as made:
+            self.model, self.weights = _fitted(docs, labels)
+        # Of what the fit has stored and shuffled only the model is read again.
+        release(spark, [f for f in made if not f.endswith(f"/{MODEL}")])
 
     def score(self, docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
         """The columns ``keep`` of every document, its score and predicted."""

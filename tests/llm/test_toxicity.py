@@ -128,5 +128,6 @@ def test_strings_do_not_cross_rows():
     key, lengths = strings(data, np.array([0, 7, 7, 14]))
     assert lengths.tolist() == [7, 0, 7] and key[:7].tolist() == key[7:].tolist()
     assert int(key[6]).to_bytes(6, "big") == b"bcdefg" and int(key[0]).to_bytes(6, "big") == b"     a"
-    model = np.zeros((2, 1 << 21), np.float32)
-    assert features(model, data, np.array([0, 7, 7, 14])).shape == (3, 3)
+    model = np.unique(key), np.arange(len(np.unique(key)), dtype=np.float32)
+    both = features(model, data, np.array([0, 7, 7, 14]))
+    assert both.shape == (3, 3) and both[0].tolist() == both[2].tolist() and both[0, 0] > 0 and not both[1].any()
