@@ -24,7 +24,10 @@ is counted in slices that end where a piece ends; only one piece must fit a task
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -124,7 +127,7 @@ def _sampled(longest: int, step: int):
     return tidy(run)
 
 
-def _boundaries(rows: DataFrame, longest: int) -> list[tuple[str, list[str]]]:
+def _boundaries(rows: DataFrame, longest: int) -> list[tuple[bytes, tuple[bytes, ...]]]:
     """Where ranges start, in order: (language, words). One entry less than there are ranges."""
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = min(-(-total // RANGE_BYTES), MOST_RANGES)
@@ -136,31 +139,56 @@ def _boundaries(rows: DataFrame, longest: int) -> list[tuple[str, list[str]]]:
     return sorted({(r["first"]["lang"].encode(), tuple(w.encode() for w in r["first"]["path"])) for r in firsts})[1:]
 
 
+class Limits(NamedTuple):
+    """The boundaries of one language: how many there are before them, their distinct words, their paths as places there."""
+
+    before: int
+    words: np.ndarray
+    paths: np.ndarray
+
+    def among(self, known: np.ndarray) -> np.ndarray:
+        """The paths in the numbers of a shard's ``known`` words: those get even ones, other words the odd ones between."""
+        at = np.searchsorted(known, self.words)
+        same = known[np.minimum(at, len(known) - 1)] == self.words
+        return np.concatenate([[0], 2 * at + np.where(same, 2, 1)])[self.paths + 1]
+
+
+def _limits(boundaries: list[tuple[bytes, tuple[bytes, ...]]], longest: int) -> dict[bytes, Limits]:
+    """Boundaries by language. Their words are looked for once for each shard, however many boundaries share them."""
+    out: dict[bytes, Limits] = {}
+    before = 0
+    for lang, group in groupby(boundaries, key=lambda b: b[0]):
+        own = [path for _, path in group]
+        words = sorted({w for path in own for w in path})
+        place = {w: k for k, w in enumerate(words)}
+        paths = np.full((len(own), longest), -1, np.int64)
+        for row, path in zip(paths, own, strict=True):
+            row[: len(path)] = [place[w] for w in path]
+        out[lang] = Limits(before, np.array(words, object), paths)
+        before += len(own)
+    return out
+
+
 def _shard(longest: int, boundaries):
     """Per range and language of a shard one automaton of its windows."""
 
     def run(batches):
-        limits = boundaries.value
+        limits, firsts = boundaries.value
         for batch in batches:
             for lang, texts in _by_lang(batch):
                 name = lang.encode()
-                before = sum(1 for own, _ in limits if own < name)
-                cuts = [path for own, path in limits if own == name]
+                own = limits.get(name)
+                before = own.before if own else bisect.bisect_left(firsts, name)
                 for data, at in _texts(texts):
                     words, found = windows(data, at, longest)
                     if not len(found):
                         continue
-                    # Words of the shard get even numbers, so that boundary words of other shards fit between.
                     known = np.array(words.cast(pa.binary()).to_pylist(), object)
-                    edge = np.zeros((len(cuts), longest), np.int64)
-                    for i, path in enumerate(cuts):
-                        for k, word in enumerate(path):
-                            place = int(np.searchsorted(known, word))
-                            edge[i, k] = 2 * place + (2 if place < len(known) and known[place] == word else 1)
+                    edge = own.among(known) if own else np.zeros((0, longest), np.int64)
                     paths, counts = transducer.summed(found, np.ones(len(found), np.int64), len(words))
                     both = transducer.keys(np.concatenate([edge, 2 * paths]), 2 * len(words) + 1)
                     order = transducer.in_order(both)
-                    is_edge = order < len(cuts)
+                    is_edge = order < len(edge)
                     passed = np.cumsum(is_edge)[~is_edge]
                     starts = np.flatnonzero(np.concatenate([[True], passed[1:] != passed[:-1]]))
                     ends = np.append(starts[1:], len(passed))
@@ -215,10 +243,10 @@ def sequence_counts(docs: DataFrame, lang: str = "lang", text: str = "text", lon
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text IS NOT NULL")
-    limits = _boundaries(rows, longest)
-    shared = spark.sparkContext.broadcast(limits)
+    found = _boundaries(rows, longest)
+    shared = spark.sparkContext.broadcast((_limits(found, longest), [lang for lang, _ in found]))
     shards = rows.mapInArrow(_shard(longest, shared), "bucket int, lang string, paths binary")
-    tasks = min(len(limits) + 1, 100_000)
+    tasks = min(len(found) + 1, 100_000)
     ranges = shards.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)).cast("int")).sortWithinPartitions("bucket", "lang")
     counted = ranges.mapInArrow(_counted(least), "lang string, length int, phrase string, f long")
     return counted.groupBy("lang", "length", "phrase").agg(F.sum("f").alias("f")).where((F.col("length") == 0) | (F.col("f") >= least))
