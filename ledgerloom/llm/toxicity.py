@@ -38,7 +38,7 @@ score is 0 (below 1e-17). Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.bitmap import rows_that_may_match
-from ledgerloom.llm.common import bounded_batches, byte_sizes, filesystem, mix, slices, table, text_bytes, tidy
+from ledgerloom.llm.common import GOLDEN, bounded_batches, byte_sizes, filesystem, mix, slices, table, text_bytes, tidy
 from ledgerloom.llm.exchange import Outbox, by_bucket, received
 from ledgerloom.session import collecting, release, shared_folder, stored
 
@@ -63,6 +63,7 @@ COUNT_BYTES = 4 << 20
 SCORE_BYTES = 1 << 20
 CHUNK_BYTES = 8 << 20
 TABLE_BITS = 21
+FACTORS = (mix(GOLDEN.reshape(1))[0] | np.uint64(1), mix(GOLDEN.reshape(1) + np.uint64(1))[0] | np.uint64(1))
 #: What a row adds to a chunk besides its text.
 ROW_BYTES = 64
 BUCKET_GRAMS = 1 << 20
@@ -93,10 +94,10 @@ def strings(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded = np.full(len(data) + pad * len(lengths), 32, np.uint8)
     place = np.arange(len(data)) + np.repeat(pad * np.arange(1, len(lengths) + 1), lengths)
     padded[place] = _LOWER[data]
-    key = np.zeros(len(data), np.uint64)
-    for back in range(ORDER - 1, -1, -1):
-        key = (key << np.uint64(8)) | padded[place - back]
-    return key, lengths
+    # Two, four and six bytes as numbers, over the padded rows without a gather.
+    two = (padded[:-1].astype(np.uint64) << np.uint64(8)) | padded[1:] if len(padded) else np.zeros(0, np.uint64)
+    six = (two[:-4] << np.uint64(32)) | (two[2:-2] << np.uint64(16)) | two[4:] if len(two) > 4 else two[:0]
+    return six[place - pad], lengths
 
 
 def bucket_of(five: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -197,8 +198,9 @@ def look_up(keys: np.ndarray, ratios: np.ndarray, grams: np.ndarray) -> np.ndarr
     return out
 
 
-def place(key: np.ndarray) -> np.ndarray:
-    return (mix(key + np.uint64(1)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
+def place(key: np.ndarray, factor: np.uint64 = FACTORS[0]) -> np.ndarray:
+    """A cell of a worker's table; which one moves work, never results."""
+    return ((key * factor) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
 
 
 def distinct(key: np.ndarray) -> np.ndarray:
@@ -211,24 +213,43 @@ def distinct(key: np.ndarray) -> np.ndarray:
 
 
 def find_repeated(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """As :func:`find`, for many asked: a table finds most, those that meet another key there are searched."""
+    """As :func:`find`, for many asked: a table finds most, a second one keys that met another there, the few left are searched."""
+    own, start = np.arange(len(keys), dtype=np.int32), place(keys)
     cell = np.zeros(1 << TABLE_BITS, np.int32)
-    cell[place(keys)] = np.arange(len(keys), dtype=np.int32)
+    cell[start] = own
     at = cell[place(asked)].astype(np.int64)
     known = keys[at] == asked if len(keys) else np.zeros(len(asked), bool)
     rest = np.flatnonzero(~known)
+    met = np.flatnonzero(cell[start] != own)
+    if len(met) and len(rest):
+        cell[place(keys[met], FACTORS[1])] = met
+        again = cell[place(asked[rest], FACTORS[1])].astype(np.int64)
+        found = keys[again] == asked[rest]
+        at[rest[found]], known[rest[found]] = again[found], True
+        rest = rest[~found]
     at[rest], known[rest] = find(keys, asked[rest])
     return at, known
 
 
-def grams_in(texts: pa.Array) -> np.ndarray:
-    """The distinct strings of some texts, sorted."""
+def grams_of(parts: Iterable[np.ndarray]) -> np.ndarray:
+    """The distinct strings of some texts, sorted, from the strings of each part; those met in earlier parts drop out first."""
+    seen = np.full(1 << TABLE_BITS, CONTEXT, np.uint64)
     found = [np.zeros(0, np.uint64)]
-    for a, b in slices(byte_sizes(texts), SCORE_BYTES):
-        found.append(distinct(strings(*text_bytes(texts.slice(a, b - a)))[0]))
+    for key in parts:
+        at = place(key)
+        fresh = seen[at] != key
+        key, at = key[fresh], at[fresh]
+        seen[at] = key
+        found.append(distinct(key))
     return np.unique(np.concatenate(found))
 
 
+def text_parts(texts: pa.Array) -> Iterator[tuple[int, int, tuple[np.ndarray, np.ndarray]]]:
+    """Rows of some texts with their bytes, about SCORE_BYTES at a time."""
+    for a, b in slices([ROW_BYTES + n for n in byte_sizes(texts)], SCORE_BYTES):
+        yield a, b, text_bytes(texts.slice(a, b - a))
+
+
 def dealt(grams: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order of sorted strings by bucket, the buckets that have any, and where each one's start in that order, with the end."""
     bucket = bucket_of(grams >> np.uint64(8), n_buckets)
@@ -279,7 +300,8 @@ def _asked(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                grams = grams_in(batch.column("texts")[i].values)
+                texts = batch.column("texts")[i].values
+                grams = grams_of(strings(*own)[0] for _, _, own in text_parts(texts))
                 order, present, at = dealt(grams, n_buckets)
                 grams = grams[order]
                 n = len(present)
@@ -334,9 +356,14 @@ def answers(folder: str, chunk: int, grams: np.ndarray, n_buckets: int) -> np.nd
     return out
 
 
-def features(model: tuple[np.ndarray, np.ndarray], data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Mean ratio, largest mean over a stretch, and log length of each row; the model is sorted strings and their ratios."""
-    key, lengths = strings(data, at)
+def features(model: tuple[np.ndarray, np.ndarray], data: np.ndarray, at: np.ndarray, key: np.ndarray | None = None) -> np.ndarray:
+    """Mean ratio, largest mean over a stretch, and log length of each row; the model is sorted strings and their ratios.
+
+    ``key`` holds the rows' strings where they are known already.
+    """
+    lengths = np.diff(at)
+    if key is None:
+        key, lengths = strings(data, at)
     where, known = find_repeated(model[0].astype(np.uint64, copy=False), key)
     ratio = np.where(known, model[1][where] if len(model[1]) else 0, 0)
     sums = np.concatenate([[0.0], np.cumsum(ratio.astype(np.float64))])
@@ -358,13 +385,13 @@ def _features_of(folder: str, n_buckets: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 texts, rest = batch.column("texts")[i].values, batch.column("rest")[i].values
-                grams = grams_in(texts)
+                parts = [(a, b, own, strings(*own)[0]) for a, b, own in text_parts(texts)]
+                grams = grams_of(key for *_, key in parts)
                 model = grams, answers(folder, batch.column("chunk")[i].as_py(), grams, n_buckets)
-                for a, b in slices([ROW_BYTES + n for n in byte_sizes(texts)], SCORE_BYTES):
-                    own = texts.slice(a, b - a)
-                    both = features(model, *text_bytes(own))
+                for a, b, own, key in parts:
+                    both = features(model, *own, key)
                     yield pa.RecordBatch.from_arrays(
-                        [own, rest.slice(a, b - a), *(pa.array(both[:, k]) for k in range(3))], names=["text", "rest", "_f0", "_f1", "_f2"]
+                        [texts.slice(a, b - a), rest.slice(a, b - a), *(pa.array(both[:, k]) for k in range(3))], names=["text", "rest", "_f0", "_f1", "_f2"]
                     )
 
     return run
