@@ -13,6 +13,10 @@ from ledgerloom.operators.dedupe import first_per_key
 from ledgerloom.session import stored
 
 
+#: Property of tables that share, or have shared, a folder with a clone.
+CLONED = "ledgerloom.cloned"
+
+
 def open_database(spark: SparkSession, name: str, location: str) -> None:
     """Create the database, with its files under ``location``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
@@ -131,6 +135,8 @@ def clone_table(spark: SparkSession, database: str, name: str, target: str) -> D
     parts = [(p, _facts(spark, source, p)["Location"]) for p in _partitions(spark, database, name)]
     spark.sql(f"DROP TABLE IF EXISTS {copy}")
     spark.sql(f"CREATE TABLE {copy} ({shape}) USING parquet {by} LOCATION '{table_location(spark, database, name)}'")
+    for table in (source, copy):
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{CLONED}' = 'true')")
     for part, path in parts:
         spark.sql(f"ALTER TABLE {copy} ADD {part} LOCATION '{path}'")
     return spark.table(copy)
@@ -256,8 +262,14 @@ def _in_key_order(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _own_location(spark: SparkSession, database: str, name: str) -> str:
-    """The table's folder; where other tables point at it too, a new one with a copy of its rows."""
+    """The table's folder; where other tables point at it too, a new one with a copy of its rows.
+
+    Only tables that took part in a clone are compared with the rest of the catalog.
+    """
     location = table_location(spark, database, name)
+    told = spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{name}`").collect()
+    if not any(r["key"] == CLONED for r in told):
+        return location
     for base in spark.catalog.listDatabases():
         for other in _tables(spark, base.name):
             if (base.name, other) != (database, name) and _plain(table_location(spark, base.name, other)) == _plain(location):
