@@ -39,3 +39,23 @@ def test_only_differing_buckets_are_looked_at(spark):
     assert [(x.layer, x.next_layer, x.id, x["columns"]) for x in got] == [("one", "two", "77", ["v"])]
     counts = {x.layer: (x.n, x.h0) for x in r.layer_counts(layers, ["id"], ["v"]).collect()}
     assert counts["two"] == counts["three"] != counts["one"]
+
+
+def test_only_rows_of_differing_keys_are_grouped_by_column(spark, monkeypatch):
+    before = spark.range(3000).selectExpr("id", "id * 2 AS v")
+    after = before.selectExpr("id", "IF(id = 77, 0, v) AS v").where("id <> 5")
+    seen, plain = [], r._both
+    monkeypatch.setattr(r, "_both", lambda a, b, *rest: seen.append((a.count(), b.count())) or plain(a, b, *rest))
+    got = r.reconcile(before, after, ["id"], ["v"], buckets=1)
+    assert seen == [(3000, 2999), (2, 1)]
+    assert sorted((x.id, x.kind) for x in got.collect()) == [("5", "lost"), ("77", "changed")]
+
+
+def test_values_that_move_to_a_gap_of_their_row_are_changes(spark):
+    rows = [("1", "x", None), ("2", "", None), (None, "k", "k"), (None, "k", "k")]
+    moved = [("1", None, "x"), ("2", None, ""), (None, "k", "k"), (None, "k", None)]
+    a, b = (spark.createDataFrame(x, "id string, a string, b string") for x in (rows, moved))
+    got = r.reconcile(a, b, ["id"], ["a", "b"]).collect()
+    assert sorted(((x.id, x["columns"], x.n_before, x.n_after) for x in got), key=repr) == [
+        ("1", ["a", "b"], 1, 1), ("2", ["a", "b"], 1, 1), (None, ["b"], 2, 2),
+    ]
