@@ -551,7 +551,7 @@ def _ranges_of(spark: SparkSession, size: str) -> Iterator[None]:
 
 @query
 def csv_multiline_ranges(spark: SparkSession, d: str) -> DataFrame:
-    """One file of orders, read in many ranges; notes hold line breaks, quotes and commas."""
+    """Files of orders, each read in many ranges; notes hold line breaks, quotes and commas."""
     key = F.col("o_orderkey")
     note = F.concat("o_orderpriority", F.lit('\n"'), F.repeat(F.lit('a, ""b\n'), (key % 40).cast("int")), F.lit('"'))
     rows = adapters.table(spark, d, "orders").select(
@@ -562,10 +562,11 @@ def csv_multiline_ranges(spark: SparkSession, d: str) -> DataFrame:
         F.lit("open").alias("status"),
         F.when(key % 7 == 0, F.lit("NULL")).otherwise((key % 100).cast("string")).alias("resolution_time_hours"),
     )
-    path = shared_folder(spark, "one-file-csv")
-    csv_files.write_csv(rows.coalesce(1), path)
+    path = shared_folder(spark, "range-csv")
+    csv_files.write_csv(rows, path)
     with _ranges_of(spark, "64k"):
-        read = stored(csv_files.read_csv_text(spark, path, "raw_support_tickets", "ranges"), "tickets")
+        read = csv_files.read_csv_text(spark, path, "raw_support_tickets", "ranges")
+    read = stored(read, "tickets")
     return read.select(
         "ticket_id", "customer_id", "issue_category", F.length("created_at").alias("note_length"), F.md5("created_at").alias("note_md5"), "resolution_time_hours"
     )

@@ -14,7 +14,7 @@ batches. Quotes count only where a field starts, as the CSV reader has it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,8 @@ _QUOTED = '"[^"]*+(?:""[^"]*+)*+"'
 _REST = '^[^"]*+(?:""[^"]*+)*+"'
 _OPENS = '(?:^|,)[ \\t]*+"'
 RECORD = "file string, block bigint, row bigint, record string"
+#: Bytes of lines worth a task of their own; a task takes several ranges where they are smaller.
+TASK_BYTES = 32 << 20
 
 
 def _ends_inside(text: Column) -> Column:
@@ -36,19 +38,25 @@ def _ends_inside(text: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines with their place and both ends of their function: f0 from outside, f1 from inside."""
+    """Lines with their place and both ends of their function: f0 from outside, f1 from inside.
+
+    A task reads whole ranges one after the other, so that small ones do not
+    cost the start of a task and a Python worker's turn each.
+    """
     line = F.col("value")
     has = line.contains('"')
     inside = ~line.rlike(_REST)
     after = F.concat(F.lit("x"), F.regexp_replace(line, _REST, ""))
     raw = spark.read.option("lineSep", "\n").text(path)
-    return raw.select(
+    tasks = max(-(-_listed(spark, path, F.sum) // TASK_BYTES), spark.sparkContext.defaultParallelism)
+    lines = raw.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.when(has, _ends_inside(line)).otherwise(0).cast("byte").alias("f0"),
         F.when(has & ~inside, _ends_inside(after)).otherwise(1).cast("byte").alias("f1"),
     )
+    return lines.coalesce(tasks)
 
 
 def _states(f0: np.ndarray, f1: np.ndarray, start: int) -> np.ndarray:
@@ -203,5 +211,9 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def largest_file(spark: SparkSession, path: str | list[str]) -> int:
     """Bytes of the largest file below ``path``, from the listing alone."""
+    return _listed(spark, path, F.max)
+
+
+def _listed(spark: SparkSession, path: str | list[str], of: Callable[[str], Column]) -> int:
     listed = spark.read.format("binaryFile").load(path).select("length")
-    return listed.agg(F.max("length")).first()[0] or 0
+    return listed.agg(of("length")).first()[0] or 0

@@ -6,10 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.sources import csv_files
 from ledgerloom.sources.csv_files import land_csv, read_csv_text
-from ledgerloom.sources.csv_ranges import _states, csv_records
+from ledgerloom.sources.csv_ranges import _lines, _states, csv_records
 
 HEADER = "product_id,product_name,category,price,currency,stock_quantity\n"
 NAMES = [c for c in HEADER.strip().split(",")]
@@ -92,6 +93,15 @@ def test_empty_and_unclosed_files(spark, tmp_path, small_ranges):
     assert [r.record for r in rows] == ['P1,"never closed,c,1,USD,2\nP2,x,c,1,USD,3']
 
 
+def test_a_task_reads_several_small_ranges(spark, tmp_path, small_ranges):
+    for part in range(2):
+        (tmp_path / f"{part}.csv").write_text(HEADER + "\n".join(random_rows(part + 5, 150)) + "\n")
+    lines = _lines(spark, str(tmp_path))
+    ranges = lines.select("file", "block").distinct().count()
+    tasks = lines.select(F.spark_partition_id()).distinct().count()
+    assert ranges > 40 and tasks <= spark.sparkContext.defaultParallelism
+
+
 def test_states_compose_as_lines_do():
     r = np.random.default_rng(5)
     for _ in range(200):
