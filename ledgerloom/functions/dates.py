@@ -19,14 +19,15 @@ def tolerant_date(value: Column) -> Column:
 
     A text is brought into ISO shape and cast once: parsing by pattern raises
     and catches an error inside Spark for every text that is in another layout.
+    No text has two of the shapes; the usual one is asked for first.
     """
     month_first = F.concat_ws(
         "-", F.substring(value, 7, 4), F.substring(value, 1, 2), F.substring(value, 4, 2)
     )
     iso = (
-        F.when(value.rlike(SLASHED_SHAPE), F.translate(value, "/", "-"))
+        F.when(value.rlike(PLAIN_SHAPE), value)
+        .when(value.rlike(SLASHED_SHAPE), F.translate(value, "/", "-"))
         .when(value.rlike(MONTH_FIRST_SHAPE), month_first)
-        .when(value.rlike(PLAIN_SHAPE), value)
     )
     day = iso.try_cast("date")
     return F.when(day >= F.lit("0001-01-01").cast("date"), day)

@@ -79,9 +79,11 @@ def staged_orders(enriched: DataFrame) -> DataFrame:
 def observed_dates(staged: DataFrame) -> DataFrame:
     """The days that have orders; a NULL date gives a row of NULLs.
 
-    Days are made distinct before the other columns are derived from them.
+    Texts are made distinct before they are read as days, and days before the
+    other columns are derived from them.
     """
-    days = staged.select(strict_date(F.col("order_date")).alias("d")).distinct()
+    texts = staged.select("order_date").distinct()
+    days = texts.select(strict_date(F.col("order_date")).alias("d")).distinct()
     return days.select(*calendar_columns(F.col("d")))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import iso_date_or_null, strict_date, tolerant_date
 from ledgerloom.functions.labels import full_name, price_bucket
+from ledgerloom.plans.star import observed_dates
 
 DAY = date(2025, 1, 31)
 
@@ -72,3 +73,13 @@ def test_price_buckets(spark):
 def test_full_name_needs_both_parts(spark):
     df = spark.createDataFrame([("A", "B"), ("A", None)], "first_name string, last_name string")
     assert [r[0] for r in df.select(full_name()).collect()] == ["A B", None]
+
+
+def test_dates_ask_for_the_usual_shape_first_and_read_each_text_once(spark):
+    df = spark.createDataFrame([("2024-01-02",), ("2024-01-02",), (None,)], "order_date string")
+    parsed = df.select(tolerant_date(F.col("order_date")).alias("d"))
+    plan = parsed._jdf.queryExecution().analyzed().toString()
+    assert plan.index("[T ]") < plan.index(r"\d{4}/")
+    days = observed_dates(df)
+    assert days._jdf.queryExecution().analyzed().toString().count("Deduplicate") == 2
+    assert sorted(r.date_iso or "" for r in days.collect()) == ["", "2024-01-02"]
