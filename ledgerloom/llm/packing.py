@@ -33,8 +33,10 @@ from ledgerloom.llm.common import bounded_batches, slices, table, tidy
 from ledgerloom.session import stored
 
 ENCODE_BYTES = 2 << 20
-#: Words kept per worker. Two workers per core take part in a packing stage.
+#: Words kept per worker where pieces are numbered as they are cut: such a stage has two workers per core.
 KEPT_WORDS = 300_000
+#: The same where pieces are stored first, so that a core has one worker, and its words serve all texts of the core.
+KEPT_WORDS_ALONE = 700_000
 
 
 class CapacityTree:
@@ -165,15 +167,16 @@ def best_fit(rows: DataFrame, capacity: int, length: str = "length") -> DataFram
     return ranked.mapInArrow(place, out)
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, kept_words: int = KEPT_WORDS) -> DataFrame:
     """Token pieces of whole documents: doc_id, piece, start, length, ids (little-endian unsigned 32-bit).
 
     A document is its ids and ``end_id``. One that is longer than the capacity
-    is cut into full pieces; what is left over comes first.
+    is cut into full pieces; what is left over comes first. A worker keeps the
+    ids of about ``kept_words`` words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoder(vocabulary, KEPT_WORDS)
+        codec = encoder(vocabulary, kept_words)
         for batch in batches:
             names, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
             for a, b in slices(list(map(len, texts)), ENCODE_BYTES):
@@ -205,6 +208,6 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int) ->
 
 
 def op1_best_fit_packing(spark, sf_dir: str) -> DataFrame:
-    pieces = cut_pieces(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", 1024, 2)
+    pieces = cut_pieces(table(spark, sf_dir, "documents"), "byte_bpe_50k.json", 1024, 2, KEPT_WORDS_ALONE)
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return best_fit(digests, 1024)
+    return best_fit(stored(digests, "digests"), 1024)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import itertools
 import random
 import zlib
 
@@ -10,6 +11,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from ledgerloom.llm import packing
 from ledgerloom.llm.bit_files import bits_for, pack, read_ids, unpack, write_ids
 from ledgerloom.llm.byte_ids import IdEncoder
 from ledgerloom.llm.common import tokenizer_path
@@ -135,6 +137,31 @@ def test_pieces_fill_sequences_without_gaps(spark):
     assert len(by_sequence) == greedy([r.length for r in rows], 64)
 
 
+def test_texts_are_encoded_by_one_worker_per_core(spark, tmp_path, monkeypatch):
+    """Pieces are numbered in a stage of their own: workers of the other one share no core, nor its words."""
+    spark.createDataFrame(DOCS * 2, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    plans = []
+
+    def watched(rows, *args):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return best_fit(rows, *args)
+
+    monkeypatch.setattr(packing, "best_fit", watched)
+    rows = packing.op1_best_fit_packing(spark, str(tmp_path)).collect()
+    assert len(plans) == 1 and "Scan parquet" in plans[0] and "MapInArrow" not in plans[0]
+    plain, found = library("byte_bpe_50k.json"), {}
+    for r in rows:
+        found.setdefault((r.doc_id, r.piece), []).append((r.start, r.length, r.ids_crc32))
+    wanted = {}
+    for doc_id, text in DOCS:
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 2]
+        cuts = [0, *range((len(ids) - 1) % 1024 + 1, len(ids) + 1, 1024)]
+        for piece, (a, b) in enumerate(itertools.pairwise(cuts)):
+            wanted[doc_id, piece] = [(a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes()))] * 2
+    assert found == wanted
+    assert len({r.sequence_id for r in rows}) == greedy([r.length for r in rows], 1024)
+
+
 def test_lengths_outside_the_capacity_get_no_place(spark):
     frame = spark.createDataFrame([(1, None), (2, 0), (3, 9), (4, 8), (5, -1), (6, 8)], "id long, length int")
     rows = {r.id: (r.sequence_id, r.offset) for r in best_fit(frame, 8).collect()}
